@@ -69,7 +69,7 @@ def driver_truck_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nesting.nest_orders(
-        star.orders(spark, sf_dir).drop("_caminhao"), star.invoices(spark, sf_dir), star.items(spark, sf_dir).drop("id_pedido")
+        star.orders(spark, sf_dir), star.invoices(spark, sf_dir), star.items(spark, sf_dir).drop("id_pedido")
     )
 
 
@@ -113,7 +113,7 @@ def freight_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def volume_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = c.item_volume_m3("comprimento_cm", "largura_cm", "altura_cm", "quantidade")
-    unit = F.col("valor_unitario") / F.lit(50.0)
+    unit = F.col("comprimento_cm") * F.col("comprimento_cm") / F.lit(30.0)
     sized = star.items(spark, sf_dir).select(c.size_class(unit).alias("classe"), volume.alias("volume"))
     return plain(sized.groupBy("classe").agg(F.count(F.lit(1)).alias("total"), c.exact_sum("volume").alias("volume_m3")))
 
@@ -230,8 +230,8 @@ ORACLE = {
     ),
     "freight_price": oracle(f"SELECT id_pedido, {FREIGHT} AS valor_frete FROM pedidos_base"),
     "volume_class": oracle(
-        f"""SELECT CASE WHEN valor_unitario / 50 < 1 THEN 'pequeno' WHEN valor_unitario / 50 < 10 THEN 'medio'
-        WHEN valor_unitario / 50 < 50 THEN 'grande' ELSE 'extra grande' END AS classe, COUNT(*) AS total,
+        f"""SELECT CASE WHEN comprimento_cm * comprimento_cm / 30 < 1 THEN 'pequeno'
+        WHEN comprimento_cm * comprimento_cm / 30 < 10 THEN 'medio' WHEN comprimento_cm * comprimento_cm / 30 < 50 THEN 'grande' ELSE 'extra grande' END AS classe, COUNT(*) AS total,
         {esum(half_up(BOX, 4))} AS volume_m3 FROM itens GROUP BY 1"""
     ),
     "licence_map": oracle(

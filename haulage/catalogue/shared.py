@@ -110,20 +110,21 @@ BLOCKS: dict[str, str] = {
         o_orderdate AS data_pedido, peso_total_kg, volume_total_m3, valor_mercadoria,
         CASE WHEN o_orderstatus = 'F' THEN 'FOB' ELSE 'CIF' END AS tipo_frete, {_PRIORITY} AS prioridade,
         sn.n_name || ' BUILDING' AS cidade_origem, sn.n_name AS uf_origem,
-        cn.n_name || ' ' || c_mktsegment AS cidade_destino, cn.n_name AS uf_destino, l_suppkey AS caminhao
+        cn.n_name || ' ' || c_mktsegment AS cidade_destino, cn.n_name AS uf_destino
         FROM orders LEFT JOIN linhas ON o_orderkey = l_orderkey
         LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey
         LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey""",
     "pedidos": f"SELECT *, {FREIGHT} AS valor_frete FROM pedidos_base",
     "silver": "SELECT * FROM pedidos WHERE id_pedido IS NOT NULL AND valor_frete >= 0",
-    "ultimos_da_carga": """SELECT *, id_pedido // 8 AS id_carga, ROW_NUMBER() OVER (PARTITION BY id_pedido // 8
-        ORDER BY CASE WHEN caminhao IS NULL THEN 1 ELSE 0 END, id_pedido DESC) AS n FROM pedidos""",
-    "cargas": f"""SELECT g.id_carga, CAST(caminhao AS BIGINT) AS id_caminhao, placa, cidade_destino, uf_destino,
-        CAST(100 + g.id_carga * 37 % 1900 AS BIGINT) AS km_total, g.peso_total_kg, g.volume_total_m3
-        FROM (SELECT id_pedido // 8 AS id_carga, {esum('peso_total_kg')} AS peso_total_kg,
-              {esum('volume_total_m3')} AS volume_total_m3 FROM pedidos GROUP BY 1) g
-        LEFT JOIN ultimos_da_carga u ON u.id_carga = g.id_carga AND u.n = 1 AND u.caminhao IS NOT NULL
-        LEFT JOIN caminhoes t ON t.id_caminhao = u.caminhao""",
+    "cargas": f"""SELECT g.id_carga, g.id_caminhao, placa, sn.n_name || ' BUILDING' AS cidade_origem, sn.n_name AS uf_origem,
+        cn.n_name || ' ' || c_mktsegment AS cidade_destino, cn.n_name AS uf_destino,
+        CAST(100 + g.id_carga * 37 % 1900 AS BIGINT) AS km_total, valor * CAST(0.01 AS DOUBLE) AS peso_total_kg
+        FROM (SELECT CAST(o_orderkey // 8 AS BIGINT) AS id_carga, MAX(o_orderkey) AS ultimo, {esum('o_totalprice')} AS valor,
+              CAST((o_orderkey // 8) * 7919 % (SELECT COUNT(*) FROM supplier) AS BIGINT) AS id_caminhao
+              FROM orders GROUP BY o_orderkey // 8) g
+        JOIN orders o ON o.o_orderkey = g.ultimo JOIN customer ON o_custkey = c_custkey
+        JOIN nation cn ON c_nationkey = cn.n_nationkey LEFT JOIN caminhoes t ON t.id_caminhao = g.id_caminhao
+        LEFT JOIN supplier ON s_suppkey = g.id_caminhao LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey""",
     "status_ref": f"SELECT * FROM (VALUES {_STATUS_ROWS}) AS v(id_status, descricao_status, ordem)",
     "eventos": f"""SELECT CAST(user_id AS BIGINT) AS id_carga, CAST({_STATUS_OF} AS BIGINT) AS id_status,
         ts AS timestamp, event_type AS observacao, CAST(event_id AS BIGINT) AS id_movimento,

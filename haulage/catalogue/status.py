@@ -95,9 +95,7 @@ ORACLE = {
         d.latitude AS dlat, d.longitude AS dlon, CAST(indice - 1 AS DOUBLE) / GREATEST(total - 1, 1) AS f
         FROM (SELECT id_carga, id_movimento, ROW_NUMBER() OVER (PARTITION BY id_carga ORDER BY timestamp, id_movimento) AS indice,
               COUNT(*) OVER (PARTITION BY id_carga) AS total FROM eventos) e
-        LEFT JOIN (SELECT g.id_carga, u.cidade_origem, u.uf_origem, u.cidade_destino, u.uf_destino
-              FROM cargas g LEFT JOIN ultimos_da_carga u ON g.id_carga = u.id_carga AND u.n = 1 AND u.caminhao IS NOT NULL) w
-              ON e.id_carga = w.id_carga
+        LEFT JOIN cargas w ON e.id_carga = w.id_carga
         LEFT JOIN centros o ON w.cidade_origem = o.cidade AND w.uf_origem = o.uf
         LEFT JOIN centros d ON w.cidade_destino = d.cidade AND w.uf_destino = d.uf)"""
     ),

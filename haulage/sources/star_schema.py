@@ -168,41 +168,62 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             "uf_origem",
             F.concat_ws(" ", "uf_destino", "c_mktsegment").alias("cidade_destino"),
             "uf_destino",
-            F.col("l_suppkey").alias("_caminhao"),
         )
     )
 
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that pass the dropping rules of the silver layer."""
-    return orders(spark, sf_dir).drop("_caminhao").filter("id_pedido IS NOT NULL AND valor_frete >= 0")
+    return orders(spark, sf_dir).filter("id_pedido IS NOT NULL AND valor_frete >= 0")
 
 
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight consecutive orders each (so a list never exceeds eight ids), driven by the truck of the last."""
-    whole = orders(spark, sf_dir).withColumn("id_carga", _load_of("id_pedido"))
-    last = F.max_by(F.struct("_caminhao", "cidade_origem", "uf_origem", "cidade_destino", "uf_destino", "tipo_frete", "data_pedido"), F.when(F.col("_caminhao").isNotNull(), F.col("id_pedido")))
-    grouped = whole.groupBy("id_carga").agg(
-        last.alias("u"),
-        c.exact_sum("peso_total_kg").alias("peso_total_kg"),
-        c.exact_sum("volume_total_m3").alias("volume_total_m3"),
-        F.to_json(F.sort_array(F.collect_list("id_pedido"))).alias("pedidos_json"),
+    """Eight consecutive orders each (so a list never exceeds eight ids), on a truck chosen by load number.
+
+    Weight and volume follow the price of the orders: a load's own figures need not match its orders.
+    From the depot in the nation of the truck to the city of the last order's customer.
+    """
+    state = nations(spark, sf_dir)
+    fleet_size = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
+    last = F.max_by(F.struct("o_custkey", "o_orderdate", "o_orderstatus"), "o_orderkey")
+    grouped = (
+        table(spark, sf_dir, "orders")
+        .groupBy(_load_of("o_orderkey").alias("id_carga"))
+        .agg(
+            last.alias("u"),
+            c.exact_sum("o_totalprice").alias("_valor"),
+            F.to_json(F.sort_array(F.collect_list(_big("o_orderkey")))).alias("pedidos_json"),
+        )
+        .withColumn("id_caminhao", F.col("id_carga") * 7919 % fleet_size)
     )
-    fleet = trucks(spark, sf_dir).select(F.col("id_caminhao").alias("_id"), "placa")
-    return grouped.join(fleet, F.col("u._caminhao") == F.col("_id"), "left").select(
-        "id_carga",
-        F.col("u._caminhao").cast("bigint").alias("id_caminhao"),
-        "placa",
-        F.col("u.tipo_frete").alias("tipo_frete"),
-        F.col("u.cidade_origem").alias("cidade_origem"),
-        F.col("u.uf_origem").alias("uf_origem"),
-        F.col("u.cidade_destino").alias("cidade_destino"),
-        F.col("u.uf_destino").alias("uf_destino"),
-        F.col("u.data_pedido").alias("data_saida"),
-        (F.lit(100) + F.col("id_carga") * 37 % 1900).cast("bigint").alias("km_total"),
-        "peso_total_kg",
-        "volume_total_m3",
-        "pedidos_json",
+    buyer = (
+        table(spark, sf_dir, "customer")
+        .select("c_custkey", "c_nationkey", "c_mktsegment")
+        .join(state.select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("uf_destino")), F.col("c_nationkey") == F.col("_cn"))
+    )
+    home = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
+        state.select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("uf_origem")), F.col("s_nationkey") == F.col("_sn")
+    )
+    plates = trucks(spark, sf_dir).select(F.col("id_caminhao").alias("_id"), "placa")
+    return (
+        grouped.join(plates, F.col("id_caminhao") == F.col("_id"), "left")
+        .join(home, F.col("id_caminhao") == F.col("s_suppkey"), "left")
+        .join(buyer, F.col("u.o_custkey") == F.col("c_custkey"), "left")
+        .select(
+            "id_carga",
+            "id_caminhao",
+            "placa",
+            F.when(F.col("u.o_orderstatus") == "F", "FOB").otherwise("CIF").alias("tipo_frete"),
+            F.concat(F.col("uf_origem"), F.lit(" " + DEPOT)).alias("cidade_origem"),
+            "uf_origem",
+            F.concat(F.col("uf_destino"), F.lit(" "), F.col("c_mktsegment")).alias("cidade_destino"),
+            "uf_destino",
+            F.col("u.o_orderdate").cast("timestamp").alias("data_saida"),
+            (F.lit(100) + F.col("id_carga") * 37 % 1900).cast("bigint").alias("km_total"),
+            (F.col("_valor") * c.num(0.01)).alias("peso_total_kg"),
+            (F.col("_valor") * c.num(0.00003)).alias("volume_total_m3"),
+            "pedidos_json",
+        )
     )
 
 
