@@ -31,7 +31,8 @@ def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dispatch.recommend(_pending(spark, sf_dir), _free(spark, sf_dir))
+    points = dispatch.pickup_points(star.customers(spark, sf_dir))
+    return dispatch.recommend(_pending(spark, sf_dir), _free(spark, sf_dir), points)
 
 
 def _customer_depot(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,8 +36,15 @@ def num(value: float) -> Column:
 
 
 def exact_sum(c: Column | str, scale: int = 4) -> Column:
-    """Sum of a double column over fixed-point values: the result does not depend on row order."""
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    """Sum of a double column over fixed-point units: the result does not depend on row order.
+
+    Values become whole units of 10^-scale and are summed as two BIGINTs (high and low bits), which stays
+    in generated code and cannot overflow before 9e24 units. One value must be below 9e18 units.
+    """
+    units = F.floor(_col(c) * num(10**scale) + num(0.5))
+    high, low = F.sum(F.shiftright(units, 20)), F.sum(units.bitwiseAND(F.lit(2**20 - 1)))
+    whole = high.cast("decimal(30,0)") * F.lit(2**20).cast("decimal(7,0)") + low.cast("decimal(30,0)")
+    return whole.cast("double") / num(10**scale)
 
 
 def exact_avg(c: Column | str, scale: int = 4) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulage.operators.lookup import sized
+
 ITEMS_PER_INVOICE = 500
 INVOICES_PER_DOCUMENT = 200
 
@@ -22,7 +24,12 @@ DIMENSIONS = ("comprimento_cm", "largura_cm", "altura_cm")
 INVOICE_FIELDS = ("id_nf", "numero_nf", "id_pedido", "data_emissao", "valor_total", "chave_acesso")
 
 
-def _part(df: DataFrame, key: str, limit: int, name: str, spread_by: list[str]) -> DataFrame:
+def _oversized(df: DataFrame, key: str, limit: int) -> bool:
+    """Whether any key has more than `limit` rows; reads the key column alone."""
+    return not df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).isEmpty()
+
+
+def _parted(df: DataFrame, key: str, limit: int, name: str, spread_by: list[str]) -> DataFrame:
     """Number that cuts a key with more than `limit` rows into about equal parts; 0 always exists."""
     code = F.xxhash64(*spread_by)
     big = (
@@ -33,7 +40,7 @@ def _part(df: DataFrame, key: str, limit: int, name: str, spread_by: list[str])
     )
     hashed = F.pmod(code, F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
     chosen = F.when(code == F.col("_low"), F.lit(0)).otherwise(hashed)
-    return df.join(big, key, "left").withColumn(name, chosen).drop("_parts", "_low")
+    return df.join(sized(big), key, "left").withColumn(name, chosen).drop("_parts", "_low")
 
 
 def nest_orders(
@@ -47,12 +54,21 @@ def nest_orders(
 
     A list is never longer than the limits (up to hash spread): an order beyond them continues in further
     documents with `parte` 1, 2, …, which repeat the header. Readers take headers from parte 0 only.
+    Group sizes are counted first; only if one is over its limit is the extra join for parts made.
     """
-    parted = _part(items, "id_nf", items_per_invoice, "_i", list(items.columns))
+    long_invoices = _oversized(items, "id_nf", items_per_invoice)
+    if long_invoices:
+        parted = _parted(items, "id_nf", items_per_invoice, "_i", list(items.columns))
+    else:
+        parted = items.withColumn("_i", F.lit(0))
     item = F.struct(*ITEM_FIELDS, F.struct(*DIMENSIONS).alias("dimensoes"))
     lists = parted.groupBy("id_nf", "_i").agg(F.collect_list(item).alias("itens"))
     filled = invoices.join(lists, "id_nf", "left").withColumn("_i", F.coalesce("_i", F.lit(0)))
-    filled = _part(filled, "id_pedido", invoices_per_document, "parte", ["id_nf", "_i"])
+    # Without cut invoices there is one row per invoice, and the short table can be counted instead.
+    if _oversized(filled if long_invoices else invoices, "id_pedido", invoices_per_document):
+        filled = _parted(filled, "id_pedido", invoices_per_document, "parte", ["id_nf", "_i"])
+    else:
+        filled = filled.withColumn("parte", F.lit(0))
     invoice = F.struct(*INVOICE_FIELDS, "itens")
     documents = filled.groupBy("id_pedido", "parte").agg(F.collect_list(invoice).alias("notas_fiscais"))
     return orders.join(documents, "id_pedido", "left").withColumn("parte", F.coalesce("parte", F.lit(0)))

@@ -6,11 +6,13 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haulage.plans import gold
 from haulage.sources import schemas
 from haulage.streaming import bronze, silver
 
+WRITERS_PER_FOLDER = 4
 STREAM_TABLES = ("bronze_pedidos", "bronze_nfs", "bronze_status", "silver_pedidos", "silver_itens_nf", "silver_status")
 
 
@@ -73,8 +75,12 @@ def clean(spark: SparkSession, lake: Lake, given: Inputs) -> None:
         names = schemas.status_reference(spark)
         steps.append(("bronze_status", "silver_status", lambda df: silver.status(df, names), ()))
     for source, target, change, parts in steps:
-        stream = bronze.table_stream(spark, lake.table(source), given.max_files)
-        bronze.finish(bronze.append(change(stream), lake.table(target), lake.checkpoint(target), parts))
+        rows = change(bronze.table_stream(spark, lake.table(source), given.max_files))
+        if parts:
+            # A few writers per folder: not one file per task and month, nor one task for a busy month.
+            writer = F.pmod(F.xxhash64("id_pedido"), F.lit(WRITERS_PER_FOLDER))
+            rows = rows.repartition(*parts, writer)
+        bronze.finish(bronze.append(rows, lake.table(target), lake.checkpoint(target), parts))
 
 
 def read(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulage.functions import columns as c
 from haulage.operators.latest import latest_per_key
+from haulage.operators.lookup import sized
 from haulage.operators.links import order_load_links
 from haulage.plans import gold
 from haulage.sources import tables
@@ -16,8 +17,11 @@ TOP_ROUTES = 20
 
 
 def city_centroids(customers: DataFrame) -> DataFrame:
-    """One point per city and state: the mean of its customers' coordinates."""
-    return (
+    """One point per city and state: the mean of its customers' coordinates.
+
+    There are far fewer cities than customers, so the result is broadcast once its size is checked.
+    """
+    return sized(
         customers.groupBy(c.place_key("cidade").alias("cidade_chave"), F.upper("uf").alias("uf_chave"))
         .agg(
             c.exact_avg("latitude", 6).alias("latitude"),

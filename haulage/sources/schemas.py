@@ -86,5 +86,5 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
 
 def status_reference(spark: SparkSession) -> DataFrame:
     """The lookup of the fixed status codes (15 rows)."""
-    rows = [(i, name, i) for i, name in enumerate(STATUS_NAMES, start=1)]
-    return spark.createDataFrame(rows, struct(RAW["status_transporte_ref"]))
+    rows = ", ".join(f"({i}, '{name}', {i})" for i, name in enumerate(STATUS_NAMES, start=1))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS v(id_status, descricao, ordem)")

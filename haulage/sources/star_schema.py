@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from haulage.functions import columns as c
 from haulage.operators.links import id_list
@@ -26,8 +27,15 @@ KG_PER_UNIT, M3_PER_UNIT = 50.0, 0.15
 DEPOT = "BUILDING"
 
 
+_known: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A sample table. Its schema is read from a footer once per path, not by a job per use."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _known:
+        _known[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known[path]).parquet(path)
 
 
 def _choose(column: Column | str, pairs: dict, otherwise=None) -> Column:
@@ -132,43 +140,48 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cities(spark: SparkSession, sf_dir: str, rows: DataFrame, customer: Column, supplier: Column) -> DataFrame:
+    """Add both ends of the way: the depot in the supplier's nation and the city of the customer.
+
+    Each lookup is joined as it is stored, so its file size decides between broadcast and shuffle.
+    """
+    state = nations(spark, sf_dir)
+    sender = state.select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("uf_origem"))
+    receiver = state.select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("uf_destino"))
+    buyer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    depot = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return (
+        rows.join(depot, supplier == F.col("s_suppkey"), "left")
+        .join(sender, F.col("s_nationkey") == F.col("_sn"), "left")
+        .join(buyer, customer == F.col("c_custkey"), "left")
+        .join(receiver, F.col("c_nationkey") == F.col("_cn"), "left")
+        .withColumn("cidade_origem", F.concat(F.col("uf_origem"), F.lit(" " + DEPOT)))
+        .withColumn("cidade_destino", F.concat(F.col("uf_destino"), F.lit(" "), F.col("c_mktsegment")))
+    )
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order header. Weight and freight are NULL for an order without lines.
 
     From the depot city in the nation of the first supplier to the city of the customer.
     """
-    state = nations(spark, sf_dir)
     head = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    buyer = (
-        table(spark, sf_dir, "customer")
-        .select("c_custkey", "c_nationkey", "c_mktsegment")
-        .join(state.select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("uf_destino")), F.col("c_nationkey") == F.col("_cn"))
-    )
-    depot = (
-        table(spark, sf_dir, "supplier")
-        .select("s_suppkey", "s_nationkey")
-        .join(state.select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("uf_origem")), F.col("s_nationkey") == F.col("_sn"))
-    )
+    whole = head.join(order_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     priority = _choose("o_orderpriority", PRIORITY_OF, "Normal")
-    return (
-        head.join(order_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(buyer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(depot, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-        .select(
-            _big("o_orderkey").alias("id_pedido"),
-            _big("o_custkey").alias("id_cliente"),
-            F.col("o_orderdate").cast("timestamp").alias("data_pedido"),
-            "peso_total_kg",
-            "volume_total_m3",
-            "valor_mercadoria",
-            c.freight_price(priority, "peso_total_kg", "volume_total_m3", "valor_mercadoria").alias("valor_frete"),
-            F.when(F.col("o_orderstatus") == "F", "FOB").otherwise("CIF").alias("tipo_frete"),
-            priority.alias("prioridade"),
-            F.when(F.col("uf_origem").isNotNull(), F.concat_ws(" ", "uf_origem", F.lit(DEPOT))).alias("cidade_origem"),
-            "uf_origem",
-            F.concat_ws(" ", "uf_destino", "c_mktsegment").alias("cidade_destino"),
-            "uf_destino",
-        )
+    return _cities(spark, sf_dir, whole, F.col("o_custkey"), F.col("l_suppkey")).select(
+        _big("o_orderkey").alias("id_pedido"),
+        _big("o_custkey").alias("id_cliente"),
+        F.col("o_orderdate").cast("timestamp").alias("data_pedido"),
+        "peso_total_kg",
+        "volume_total_m3",
+        "valor_mercadoria",
+        c.freight_price(priority, "peso_total_kg", "volume_total_m3", "valor_mercadoria").alias("valor_frete"),
+        F.when(F.col("o_orderstatus") == "F", "FOB").otherwise("CIF").alias("tipo_frete"),
+        priority.alias("prioridade"),
+        "cidade_origem",
+        "uf_origem",
+        "cidade_destino",
+        "uf_destino",
     )
 
 
@@ -183,7 +196,6 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     Weight and volume follow the price of the orders: a load's own figures need not match its orders.
     From the depot in the nation of the truck to the city of the last order's customer.
     """
-    state = nations(spark, sf_dir)
     fleet_size = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
     last = F.max_by(F.struct("o_custkey", "o_orderdate", "o_orderstatus"), "o_orderkey")
     grouped = (
@@ -196,34 +208,22 @@ def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("id_caminhao", F.col("id_carga") * 7919 % fleet_size)
     )
-    buyer = (
-        table(spark, sf_dir, "customer")
-        .select("c_custkey", "c_nationkey", "c_mktsegment")
-        .join(state.select(F.col("n_nationkey").alias("_cn"), F.col("n_name").alias("uf_destino")), F.col("c_nationkey") == F.col("_cn"))
-    )
-    home = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").join(
-        state.select(F.col("n_nationkey").alias("_sn"), F.col("n_name").alias("uf_origem")), F.col("s_nationkey") == F.col("_sn")
-    )
     plates = trucks(spark, sf_dir).select(F.col("id_caminhao").alias("_id"), "placa")
-    return (
-        grouped.join(plates, F.col("id_caminhao") == F.col("_id"), "left")
-        .join(home, F.col("id_caminhao") == F.col("s_suppkey"), "left")
-        .join(buyer, F.col("u.o_custkey") == F.col("c_custkey"), "left")
-        .select(
-            "id_carga",
-            "id_caminhao",
-            "placa",
-            F.when(F.col("u.o_orderstatus") == "F", "FOB").otherwise("CIF").alias("tipo_frete"),
-            F.concat(F.col("uf_origem"), F.lit(" " + DEPOT)).alias("cidade_origem"),
-            "uf_origem",
-            F.concat(F.col("uf_destino"), F.lit(" "), F.col("c_mktsegment")).alias("cidade_destino"),
-            "uf_destino",
-            F.col("u.o_orderdate").cast("timestamp").alias("data_saida"),
-            (F.lit(100) + F.col("id_carga") * 37 % 1900).cast("bigint").alias("km_total"),
-            (F.col("_valor") * c.num(0.01)).alias("peso_total_kg"),
-            (F.col("_valor") * c.num(0.00003)).alias("volume_total_m3"),
-            "pedidos_json",
-        )
+    with_plate = grouped.join(plates, F.col("id_caminhao") == F.col("_id"), "left")
+    return _cities(spark, sf_dir, with_plate, F.col("u.o_custkey"), F.col("id_caminhao")).select(
+        "id_carga",
+        "id_caminhao",
+        "placa",
+        F.when(F.col("u.o_orderstatus") == "F", "FOB").otherwise("CIF").alias("tipo_frete"),
+        "cidade_origem",
+        "uf_origem",
+        "cidade_destino",
+        "uf_destino",
+        F.col("u.o_orderdate").cast("timestamp").alias("data_saida"),
+        (F.lit(100) + F.col("id_carga") * 37 % 1900).cast("bigint").alias("km_total"),
+        (F.col("_valor") * c.num(0.01)).alias("peso_total_kg"),
+        (F.col("_valor") * c.num(0.00003)).alias("volume_total_m3"),
+        "pedidos_json",
     )
 
 

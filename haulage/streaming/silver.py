@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from haulage.functions import columns as c
 from haulage.operators import rules
+from haulage.operators.lookup import sized
 from haulage.operators.nesting import explode_items
 from haulage.operators.rules import Rule
 
@@ -41,8 +42,7 @@ def first_parts(orders: DataFrame) -> DataFrame:
 def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders with their customer and the parts of the order date; before any rule.
 
-    No broadcast is forced: the size estimate of the customers decides, and a hot customer in a
-    shuffled join is split at run time.
+    Customers are broadcast when their counted number allows it, so that orders are not shuffled.
     """
     who = customers.select(
         F.col("id_cliente").alias("_id"),
@@ -51,7 +51,7 @@ def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("uf").alias("uf_cliente"),
         F.col("cidade").alias("cidade_cliente"),
     )
-    joined = orders.join(who, F.col("id_cliente") == F.col("_id"), "left").drop("_id")
+    joined = orders.join(sized(who), F.col("id_cliente") == F.col("_id"), "left").drop("_id")
     dated = joined.withColumn("data_pedido", c.moment("data_pedido")).withColumn(
         "prioridade", c.normal_priority("prioridade")
     )
