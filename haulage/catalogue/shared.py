@@ -43,9 +43,9 @@ def half_up(x: str, digits: int) -> str:
 
 def km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return (
-        "CAST(12742 AS DOUBLE) * ASIN(SQRT(LEAST(1, "
+        "CAST(12742 AS DOUBLE) * ASIN(SQRT("
         f"POW(SIN((RADIANS({lat2}) - RADIANS({lat1})) / 2), 2) + COS(RADIANS({lat1})) * COS(RADIANS({lat2})) * "
-        f"POW(SIN((RADIANS({lon2}) - RADIANS({lon1})) / 2), 2))))"
+        f"POW(SIN((RADIANS({lon2}) - RADIANS({lon1})) / 2), 2)))"
     )
 
 
