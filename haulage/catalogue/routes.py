@@ -44,9 +44,9 @@ def order_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id_pedido"), c.moment("o_orderdate").alias("data_pedido")
+        F.col("o_orderkey").alias("id_pedido"), F.col("o_orderdate").alias("data_pedido")
     )
-    dated = orders.withColumns(c.calendar_parts("data_pedido"))
+    dated = c.with_moment(orders, "data_pedido").withColumns(c.calendar_parts("data_pedido"))
     return plain(dated.withColumn("data", F.to_date("data_pedido")).drop("data_pedido"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the domain.
@@ -129,9 +129,8 @@ def week_label(year: Column | str, week: Column | str) -> Column:
 
 
 def place_key(name: Column | str) -> Column:
-    """Upper case, no accents, single spaces: 'São  Paulo' and 'SAO PAULO' meet."""
-    flat = F.translate(F.upper(F.trim(_col(name))), ACCENTED, PLAIN)
-    return F.regexp_replace(flat, r"\s+", " ")
+    """Upper case without accents: 'São Paulo' and 'SAO PAULO' meet."""
+    return F.translate(F.upper(F.trim(_col(name))), ACCENTED, PLAIN)
 
 
 def normal_priority(priority: Column | str) -> Column:
@@ -155,8 +154,16 @@ def flag(condition: Column) -> Column:
 
 
 def moment(text: Column | str) -> Column:
-    """Text or timestamp to a timestamp; NULL, not an error, for unreadable text."""
-    return F.try_to_timestamp(_col(text).cast("string"))
+    """Text to a timestamp; NULL, not an error, for unreadable text."""
+    return F.try_to_timestamp(_col(text))
+
+
+def with_moment(df: DataFrame, name: str) -> DataFrame:
+    """The column as a timestamp. Only text is parsed; a timestamp column is left alone."""
+    kind = df.schema[name].dataType.typeName()
+    if kind == "timestamp":
+        return df
+    return df.withColumn(name, moment(name) if kind == "string" else F.col(name).cast("timestamp"))
 
 
 def calendar_parts(ts: Column | str) -> dict[str, Column]:

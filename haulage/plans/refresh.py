@@ -47,20 +47,18 @@ class Inputs:
     max_files: int | None = None
 
 
-def _ingest(spark: SparkSession, lake: Lake, folder: str, ddl: str, name: str, given: Inputs) -> None:
-    stream = bronze.landing_stream(spark, folder, ddl, given.layout, given.max_files)
-    bronze.finish(bronze.append(stream, lake.table(name), lake.checkpoint(name)))
-
-
 def ingest(spark: SparkSession, lake: Lake, given: Inputs) -> None:
-    """Bronze: only files that earlier calls have not seen are read."""
+    """Bronze: only files that earlier calls have not seen are read. The streams run side by side."""
+    running = []
     for folder, ddl, name in (
         (given.orders, schemas.ORDER, "bronze_pedidos"),
         (given.invoices, schemas.INVOICE, "bronze_nfs"),
         (given.status, schemas.STATUS, "bronze_status"),
     ):
         if folder:
-            _ingest(spark, lake, folder, ddl, name, given)
+            stream = bronze.landing_stream(spark, folder, ddl, given.layout, given.max_files)
+            running.append(bronze.append(stream, lake.table(name), lake.checkpoint(name)))
+    bronze.finish_all(running)
 
 
 def clean(spark: SparkSession, lake: Lake, given: Inputs) -> None:
@@ -74,13 +72,15 @@ def clean(spark: SparkSession, lake: Lake, given: Inputs) -> None:
     if given.status:
         names = schemas.status_reference(spark)
         steps.append(("bronze_status", "silver_status", lambda df: silver.status(df, names), ()))
+    running = []
     for source, target, change, parts in steps:
         rows = change(bronze.table_stream(spark, lake.table(source), given.max_files))
         if parts:
             # A few writers per folder: not one file per task and month, nor one task for a busy month.
             writer = F.pmod(F.xxhash64("id_pedido"), F.lit(WRITERS_PER_FOLDER))
             rows = rows.repartition(*parts, writer)
-        bronze.finish(bronze.append(rows, lake.table(target), lake.checkpoint(target), parts))
+        running.append(bronze.append(rows, lake.table(target), lake.checkpoint(target), parts))
+    bronze.finish_all(running)
 
 
 def read(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

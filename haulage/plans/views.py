@@ -61,7 +61,7 @@ def delivery_map(orders: DataFrame, status: DataFrame, customers: DataFrame) ->
     named = orders
     if "cidade_cliente" not in orders.columns:
         who = customers.select("id_cliente", F.col("cidade").alias("cidade_cliente"))
-        named = orders.join(who, "id_cliente", "left")
+        named = orders.join(sized(who), "id_cliente", "left")
     placed = locate(named, centroids, "cidade_origem", "uf_origem", "lat_origem", "long_origem")
     placed = locate(placed, centroids, "cidade_destino", "uf_destino", "lat_destino", "long_destino")
     return _with_status(placed, status).select(

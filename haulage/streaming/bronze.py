@@ -47,3 +47,15 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for the end; a failed query raises here."""
     query.awaitTermination()
     return query
+
+
+def finish_all(queries: list[StreamingQuery]) -> None:
+    """Wait for queries that run side by side. All of them end before the first failure is raised."""
+    failed = None
+    for query in queries:
+        try:
+            finish(query)
+        except Exception as error:  # noqa: BLE001 - raised below
+            failed = failed or error
+    if failed:
+        raise failed

