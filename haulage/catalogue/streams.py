@@ -44,10 +44,13 @@ def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = refresh.Lake(scratch(spark, "lake"))
     refresh.ingest(spark, lake, given)
     stored = refresh.read(spark, lake, "bronze_pedidos")
-    notes = F.coalesce(F.size("notas_fiscais"), F.lit(0)).alias("total_nfs")
-    return plain(
-        stored.select("id_pedido", F.col("id_cliente"), F.to_date("data_pedido").alias("data"), "valor_frete", "prioridade", notes)
+    # A very large order spans several documents, and a very large invoice occurs in several of them.
+    invoices = stored.select("id_pedido", F.explode("notas_fiscais.id_nf").alias("id_nf"))
+    counted = invoices.groupBy("id_pedido").agg(F.count_distinct("id_nf").alias("total_nfs"))
+    heads = silver.first_parts(stored).select(
+        "id_pedido", "id_cliente", F.to_date("data_pedido").alias("data"), "valor_frete", "prioridade"
     )
+    return plain(heads.join(counted, "id_pedido", "left").withColumn("total_nfs", F.coalesce("total_nfs", F.lit(0))))
 
 
 def stream_ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
