@@ -17,14 +17,16 @@ from haulage.streaming import bronze, live, silver
 _MOMENT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _orders_in(spark: SparkSession, sf_dir: str, layout: str = "lines") -> refresh.Inputs:
+def land_orders(spark: SparkSession, sf_dir: str, layout: str = "lines") -> refresh.Inputs:
+    """Export the nested orders as landing files."""
     folder = scratch(spark, "pedidos_json")
     nested = _nested(spark, sf_dir).withColumn("data_pedido", F.date_format("data_pedido", _MOMENT))
     landing.write_orders(nested, folder, layout)
     return refresh.Inputs(customers=star.customers(spark, sf_dir), orders=folder, layout=layout)
 
 
-def _status_in(spark: SparkSession, sf_dir: str, layout: str = "lines") -> refresh.Inputs:
+def land_status(spark: SparkSession, sf_dir: str, layout: str = "lines") -> refresh.Inputs:
+    """Export the status events as landing files."""
     folder = scratch(spark, "status_json")
     events = star.status_events(spark, sf_dir).drop("id_movimento")
     landing.write_events(events.withColumn("timestamp", F.date_format("timestamp", _MOMENT)), folder, layout)
@@ -40,7 +42,7 @@ def _run(spark: SparkSession, given: refresh.Inputs) -> refresh.Lake:
 
 def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files in array layout to the bronze table."""
-    given = _orders_in(spark, sf_dir, layout="array")
+    given = land_orders(spark, sf_dir, layout="array")
     lake = refresh.Lake(scratch(spark, "lake"))
     refresh.ingest(spark, lake, given)
     stored = refresh.read(spark, lake, "bronze_pedidos")
@@ -54,7 +56,7 @@ def stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = _status_in(spark, sf_dir)
+    given = land_status(spark, sf_dir)
     lake = refresh.Lake(scratch(spark, "lake"))
     refresh.ingest(spark, lake, given)
     stored = refresh.read(spark, lake, "bronze_status")
@@ -63,21 +65,21 @@ def stream_ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders through bronze and silver: rules, customer join and date parts on the stream."""
-    lake = _run(spark, _orders_in(spark, sf_dir))
+    lake = _run(spark, land_orders(spark, sf_dir))
     stored = refresh.read(spark, lake, "silver_pedidos")
     return plain(stored.select("id_pedido", "razao_social", "cidade_cliente", "data_pedido", "valor_frete", "ano", "mes", "dia"))
 
 
 def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items exploded on the stream."""
-    lake = _run(spark, _orders_in(spark, sf_dir))
+    lake = _run(spark, land_orders(spark, sf_dir))
     stored = refresh.read(spark, lake, "silver_itens_nf")
     return plain(stored.select("id_pedido", "id_nf", "id_item", "descricao", "ncm", "quantidade", "valor_total_item", "comprimento_cm"))
 
 
 def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts over the ingested orders and the rows left in silver."""
-    given = _orders_in(spark, sf_dir)
+    given = land_orders(spark, sf_dir)
     lake = _run(spark, given)
     bronze_rows = silver.first_parts(refresh.read(spark, lake, "bronze_pedidos"))
     found = rules.report(silver.enrich_orders(bronze_rows, given.customers), silver.ORDER_RULES)
@@ -87,7 +89,7 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status events joined to the names of their codes on the stream."""
-    lake = _run(spark, _status_in(spark, sf_dir))
+    lake = _run(spark, land_status(spark, sf_dir))
     stored = refresh.read(spark, lake, "silver_status")
     return plain(stored.select("id_carga", "id_status", "descricao_status", "ordem", "timestamp", "latitude", "longitude"))
 

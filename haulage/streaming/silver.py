@@ -36,6 +36,8 @@ ITEM_CARRY = [
 
 def first_parts(orders: DataFrame) -> DataFrame:
     """One document per order: continuation documents only add invoices."""
+    if "parte" not in orders.columns:
+        return orders
     return orders.filter(F.coalesce(F.col("parte"), F.lit(0)) == 0).drop("parte")
 
 
