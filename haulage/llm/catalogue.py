@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from haulage.llm import bpe
+from haulage.llm import bpe, language, records
+from haulage.session import scratch
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -14,9 +17,23 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(spark, _documents(spark, sf_dir), PIECES)
+
+
+def op4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "records")
+    records.write(_documents(spark, sf_dir), folder, BYTE_BPE)
+    return records.read(spark, folder, digest_only=True)
+
+
 def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir), WORD_BPE)
 
 
-QUERIES = {"op9_bpe_trie": op9_bpe_trie}
+QUERIES = {
+    "op1_language": op1_language,
+    "op4_records": op4_records,
+    "op9_bpe_trie": op9_bpe_trie,
+}
 ORACLE: dict[str, str] = {}
