@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from haulage.llm import bpe, language, records
+from haulage.llm import bpe, language, quality, records
 from haulage.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(spark, _documents(spark, sf_dir), PIECES)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "records")
     records.write(_documents(spark, sf_dir), folder, BYTE_BPE)
@@ -33,6 +37,7 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op3_quality": op3_quality,
     "op4_records": op4_records,
     "op9_bpe_trie": op9_bpe_trie,
 }
