@@ -4,7 +4,8 @@ A record file is a row of frames:
 
     length      8 bytes, little-endian, bytes of the payload
     check       4 bytes, masked CRC-32 of the length field
-    payload     flags (1 byte: 1 if the document has an id), document id (8 bytes), ids (4 bytes each, unsigned)
+    payload     flags (1 byte: 1 if the document has an id, 2 if ids take 4 bytes), document id (8 bytes), ids (2 or 4 bytes
+                each, unsigned; 2 where the vocabulary has at most 65,536 ids)
     check       4 bytes, masked CRC-32 of the payload
 
 A masked checksum is the CRC turned right by 15 bits plus a constant, so that a checksum over data that holds checksums
@@ -17,6 +18,7 @@ repeated tasks are never read.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -33,9 +35,10 @@ from haulage.llm import batches, vocabulary
 #: A file is closed when it holds this much, so that readers get many equal pieces.
 FILE_BYTES = 16 << 20
 #: Pre-tokens a task remembers before it starts its memory anew. It affects time only.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 500_000
 
 _MASK = 0xA282EAD8
+_APART = re.compile(f" [{vocabulary.LETTER}]+")
 _MANIFEST = pa.schema(
     [("part", pa.int32()), ("piece", pa.int32()), ("file", pa.string()), ("records", pa.int64()), ("tokens", pa.int64())]
 )
@@ -49,16 +52,18 @@ def masked(crc: int) -> int:
     return (((crc >> 15) | (crc << 17)) + _MASK) & 0xFFFFFFFF
 
 
-def frame(doc_id: int | None, ids: bytes) -> bytes:
-    payload = struct.pack("<?q", doc_id is not None, doc_id or 0) + ids
+def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
+    """A frame of ids held in 16- or 32-bit unsigned integers."""
+    flags = (doc_id is not None) + 2 * (ids.dtype.itemsize == 4)
+    payload = struct.pack("<Bq", flags, doc_id or 0) + ids.tobytes()
     length = struct.pack("<Q", len(payload))
     return b"".join(
         (length, struct.pack("<I", masked(zlib.crc32(length))), payload, struct.pack("<I", masked(zlib.crc32(payload))))
     )
 
 
-def read_at(data: bytes, offset: int) -> tuple[int | None, bytes, int]:
-    """(document id, id bytes, offset of the next frame) of the frame at `offset`."""
+def read_at(data: bytes, offset: int) -> tuple[int | None, np.ndarray, int]:
+    """(document id, ids, offset of the next frame) of the frame at `offset`."""
     head = data[offset : offset + 12]
     if len(head) < 12 or struct.unpack_from("<I", head, 8)[0] != masked(zlib.crc32(head[:8])):
         raise CorruptRecord(f"frame at {offset}: length")
@@ -67,11 +72,11 @@ def read_at(data: bytes, offset: int) -> tuple[int | None, bytes, int]:
     payload = data[start:end]
     if len(data) < end + 4 or struct.unpack_from("<I", data, end)[0] != masked(zlib.crc32(payload)):
         raise CorruptRecord(f"frame at {offset}: payload")
-    known, doc_id = struct.unpack_from("<?q", payload)
-    return (doc_id if known else None), payload[9:], end + 4
+    flags, doc_id = struct.unpack_from("<Bq", payload)
+    return (doc_id if flags & 1 else None), np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=9), end + 4
 
 
-def read_all(data: bytes) -> Iterator[tuple[int | None, bytes]]:
+def read_all(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
     offset = 0
     while offset < len(data):
         doc_id, ids, offset = read_at(data, offset)
@@ -83,7 +88,6 @@ class TextEncoder:
 
     def __init__(self, path: str):
         import json
-        import re
 
         from tokenizers import Tokenizer
 
@@ -97,13 +101,34 @@ class TextEncoder:
         #: Only files that split this way take the short path.
         self.usual = spec.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space")
         self.cut = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
+        largest = max([*self.library.get_vocab().values(), *self.specials.values()], default=0)
+        self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.ids: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of pre-tokens not yet met. Those of one space and letters keep apart when written one after another, so the
+        library gets them as one text and says which ids belong to which word; the others go to it one by one."""
+        joined = [w for w in new if _APART.fullmatch(w)]
+        for i in range(0, len(joined), 20_000):
+            some = joined[i : i + 20_000]
+            made = self.library.encode("".join(some), add_special_tokens=False)
+            ids, owner = np.array(made.ids, self.kind), np.array(made.word_ids)
+            ends = np.searchsorted(owner, np.arange(len(some)), side="right")
+            if owner[-1] != len(some) - 1:
+                raise ValueError("pre-tokens did not keep apart")
+            for word, start, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
+                self.ids[word] = ids[start:end].tobytes()
+        single = [w for w in new if not _APART.fullmatch(w)]
+        for i in range(0, len(single), 20_000):
+            some = single[i : i + 20_000]
+            for word, made in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
+                self.ids[word] = np.array(made.ids, self.kind).tobytes()
 
     def encode_slice(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        """Ids of each text, as little-endian unsigned integers of this vocabulary's width (`kind`)."""
         split: list[list[str] | None] = []
         for text in texts:
             if not self.usual or not vocabulary.plain(text):
@@ -116,10 +141,7 @@ class TextEncoder:
                 split.append(vocabulary.BYTE_SPLIT.findall(text))
         if len(self.ids) > WORDS_KEPT:
             self.ids.clear()
-        new = list(set().union(*(s for s in split if s)).difference(self.ids))
-        for i in range(0, len(new), 20_000):
-            for word, made in zip(new[i : i + 20_000], self.library.encode_batch(new[i : i + 20_000], add_special_tokens=False)):
-                self.ids[word] = np.array(made.ids, "<u4").tobytes()
+        self._learn(list(set().union(*(s for s in split if s)).difference(self.ids)))
         get = self.ids.__getitem__
         return [self._whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
 
@@ -161,7 +183,6 @@ def write(
         part, encoder = TaskContext.get().partitionId(), text_encoder(tokenizer)
         system, place = _open(folder)
         system.create_dir(f"{place}/data", recursive=True)
-        end = np.array([end_id], "<u4").tobytes()
         attempt, manifest = uuid.uuid4().hex, []
         frames: list[bytes] = []
         held = tokens = 0
@@ -181,9 +202,10 @@ def write(
         for piece in batches.slices(parts):
             ids = piece.column("doc_id").to_pylist()
             for doc_id, made in zip(ids, encoder.encode_slice(batches.strings(piece))):
-                frames.append(frame(doc_id, made + end))
+                ids_of = np.append(np.frombuffer(made, encoder.kind), np.array([end_id], encoder.kind))
+                frames.append(frame(doc_id, ids_of))
                 held += len(frames[-1])
-                tokens += len(made) // 4 + 1
+                tokens += len(ids_of)
                 if held >= FILE_BYTES:
                     close()
         if frames:
@@ -233,11 +255,11 @@ def read(spark: SparkSession, folder: str, digest_only: bool = False) -> DataFra
                 for doc_id, ids in read_all(data):
                     out["doc_id"].append(doc_id)
                     out["start"].append(start)
-                    out["n_tokens"].append(len(ids) // 4)
-                    out["ids_crc32"].append(zlib.crc32(ids))
+                    out["n_tokens"].append(len(ids))
+                    out["ids_crc32"].append(zlib.crc32(ids.astype("<u4")))
                     if not digest_only:
-                        out["ids"].append(np.frombuffer(ids, "<u4").astype(np.int64))
-                    start += len(ids) // 4
+                        out["ids"].append(ids.astype(np.int64))
+                    start += len(ids)
                 yield batches.rows(schema, **out)
 
     names = "doc_id long, start long, n_tokens long, ids_crc32 long" + ("" if digest_only else ", ids array<long>")
@@ -256,4 +278,4 @@ def read_record(folder: str, file: str, number: int) -> tuple[int | None, np.nda
         head = records.read(12)
         rest = records.read(struct.unpack_from("<Q", head)[0] + 4)
     doc_id, ids, _ = read_at(head + rest, 0)
-    return doc_id, np.frombuffer(ids, "<u4")
+    return doc_id, ids

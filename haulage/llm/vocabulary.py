@@ -6,14 +6,14 @@ import re
 
 #: Characters whose class (letter, digit, white space, other) and lower case are the same in every Unicode version.
 _PLAIN = "\t-\r -~À-ÖØ-įı-ſ–—‘’“”…€"
-_LETTER = "A-Za-zÀ-ÖØ-įı-ſ"
+LETTER = "A-Za-zÀ-ÖØ-įı-ſ"
 ODD = re.compile(f"[^{_PLAIN}]")
 
 # The split patterns of the two tokenizers, over plain characters.
 BYTE_SPLIT = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+"
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[0-9]+| ?[^\s{LETTER}0-9]+|\s+(?!\S)|\s+"
 )
-WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\s{_LETTER}0-9]+")
+WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^\s{LETTER}0-9]+")
 
 
 def plain(text: str) -> bool:
