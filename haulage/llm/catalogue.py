@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from haulage.llm import bpe, language, mixture, prints, quality, records
+from haulage.llm import anchors, bpe, language, mixture, prints, quality, records
 from haulage.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,6 +31,10 @@ def op4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read(spark, folder, digest_only=True)
 
 
+def op5_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.removed(_documents(spark, sf_dir))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prints.neighbours(_documents(spark, sf_dir))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_language": op1_language,
     "op3_quality": op3_quality,
     "op4_records": op4_records,
+    "op5_anchors": op5_anchors,
     "op6_fingerprints": op6_fingerprints,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_mixture": op10_mixture,
