@@ -143,7 +143,7 @@ def _stream(inside: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         open_h = open_n = None  # class and neighbourhood that the last row belongs to
         first_doc = first_at = 0  # earliest row of that neighbourhood
         held: list[tuple[int, int]] = []  # representatives of the class that are not sent yet
-        hot = False
+        contexts, hot = 0, False
         for batch in incoming:
             kind = batch.column("kind").to_numpy()
             h, n, doc, at = (batch.column(c).to_numpy() for c in ("h", "n", "doc", "at"))
@@ -171,11 +171,13 @@ def _stream(inside: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 others = np.frombuffer(more[int(use[row])].as_buffer(), np.int64)
                 if later[row]:
                     yield emit(np.full(len(others), h[row]), np.full(len(others), doc[row]), others, SETTLED)
-            # classes: the rows that start a neighbourhood are its representatives
+            # classes: the rows that start a neighbourhood are its representatives, with their twins in the same document
+            others_of = {int(r): np.frombuffer(more[int(use[r])].as_buffer(), np.int64).tolist() for r in extra if not later[r]}
+            twins = np.flatnonzero(~new & ~later & (at != lead_at))
             out_h, out_doc, out_at, out_kind = [], [], [], []
 
             def flush() -> None:
-                if hot or len(held) > 1:
+                if hot or contexts > 1:
                     for d, a in held:
                         out_h.append(open_h), out_doc.append(d), out_at.append(a), out_kind.append(HOT if hot else CLASS)
                 held.clear()
@@ -185,16 +187,18 @@ def _stream(inside: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 begins = new_h[starts]
                 lone[:-1] = begins[:-1] & begins[1:]
                 lone &= n[starts] != _MARKER
-            for k in np.flatnonzero(~lone):
-                row = int(starts[k])
+            seen = np.concatenate([[True], ~lone])  # by run_no
+            for row in np.union1d(starts[~lone], twins[seen[run_no[twins]]]).tolist() if len(twins) else starts[~lone].tolist():
                 if new_h[row]:
                     flush()
-                    open_h, hot = int(h[row]), False
+                    open_h, contexts, hot = int(h[row]), 0, False
                 if n[row] == _MARKER:
                     hot = True
                     continue
+                contexts += bool(new[row])
                 held.append((int(doc[row]), int(at[row])))
-                hot = hot or len(held) > MOST_CLASS
+                held.extend((int(doc[row]), a) for a in others_of.get(row, ()))
+                hot = hot or contexts > MOST_CLASS
                 if hot:
                     flush()
             last = len(h) - 1
@@ -202,7 +206,7 @@ def _stream(inside: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             if out_doc:
                 kinds = np.array(out_kind, np.int32)
                 yield batches.rows(FOUND_ROW, h=out_h, doc=out_doc, at=out_at, kind=kinds)
-        if hot or len(held) > 1:
+        if hot or contexts > 1:
             yield batches.rows(
                 FOUND_ROW, h=[open_h] * len(held), doc=[d for d, _ in held], at=[a for _, a in held], kind=[HOT if hot else CLASS] * len(held)
             )
