@@ -64,6 +64,7 @@ class Rolling:
 
     def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Scrambled hashes of the spans from `start` to `end`."""
+        self._grow(len(sums))
         return batches.mix((sums[end] - sums[start]) * self.inverses[start])
 
 
