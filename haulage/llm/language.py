@@ -116,6 +116,71 @@ class Lattice:
         return np.log(np.maximum(alpha[-1], 1e-300)) + scale[-1]
 
 
+class WordScores:
+    """Log probabilities of words, a row of the matrix for each word met.
+
+    The pieces of all new words are found in a trie of pieces; then the forward pass goes over all these words together, one
+    step for each end position and piece length. Long words, and words with characters that have no piece, go one by one.
+    """
+
+    LONGEST = 32  # letters: up to here the product of the least piece probabilities does not underflow
+
+    def __init__(self, model: Model):
+        self.lattice, self.probs = Lattice(model), model.probs
+        self.trie: dict = {}
+        for n, piece in enumerate(model.pieces):
+            node = self.trie
+            for letter in piece:
+                node = node.setdefault(letter, {})
+            node[""] = n
+        self.rows: dict[str, int] = {}
+        self.matrix = np.zeros((1024, len(model.languages)))
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.rows) > WORDS_KEPT:
+            self.rows.clear()
+        new = list(words.difference(self.rows))
+        while len(self.matrix) < len(self.rows) + len(new):
+            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+        trie, base, slow = self.trie, len(self.rows), []
+        codes: list[int] = []
+        add = codes.append
+        for w, word in enumerate(new):
+            self.rows[word] = base + w
+            text = MARK + word
+            size = len(text)
+            if size > self.LONGEST:
+                slow.append(w)
+                continue
+            for start in range(size):
+                node, end = trie, start
+                while end < size:
+                    node = node.get(text[end])
+                    if node is None:
+                        break
+                    end += 1
+                    if "" in node:
+                        add((end << 56) | ((end - start) << 48) | (w << 20) | node[""])
+                if end == start or "" not in trie[text[start]]:
+                    slow.append(w)
+                    break
+        steps = np.sort(np.array(codes, np.int64))
+        alpha = np.zeros((len(new), self.LONGEST + 1, self.matrix.shape[1]))
+        alpha[:, 0] = 1.0
+        cuts = np.flatnonzero(np.diff(steps >> 48)) + 1
+        for some in np.split(steps, cuts) if len(steps) else ():
+            end, length = int(some[0] >> 56), int(some[0] >> 48) & 255
+            w, piece = (some >> 20) & 0xFFFFFFF, some & 0xFFFFF
+            alpha[w, end] += alpha[w, end - length] * self.probs[piece]
+        last = np.minimum(np.fromiter(map(len, new), np.int64, len(new)) + 1, self.LONGEST)
+        self.matrix[base : base + len(new)] = np.log(np.maximum(alpha[np.arange(len(new)), last], 1e-300))
+        for w in slow:
+            self.matrix[base + w] = self.lattice.log_probability(new[w])
+
+    def total(self, words: list[str]) -> np.ndarray:
+        return self.matrix[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
+
 def expected(word: str, probs: dict[str, float], single: list[float], longest: int) -> dict[object, float]:
     """Expected number of uses of each piece in a word, in one language. Byte values stand for characters without a piece."""
     text = MARK + word
@@ -263,23 +328,17 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: Model = given.value
-        known: dict[str, np.ndarray] = {}
-        lattice = Lattice(fitted)
+        known = WordScores(fitted)
         for part in batches.slices(parts):
             split = [words(t) if t and fitted.languages else [] for t in batches.strings(part)]
-            if len(known) > WORDS_KEPT:
-                known.clear()
-            for word in set().union(*split).difference(known):
-                known[word] = lattice.log_probability(word)
+            known.learn(set().union(*split))
             names, scores = [], []
             for own in split:
                 if not own:
                     names.append("und")
                     scores.append(0.0)
                     continue
-                times = Counter(own)
-                logs = np.array(list(map(known.__getitem__, times)))
-                total = fitted.prior + np.array(list(times.values()), float) @ logs
+                total = fitted.prior + known.total(own)
                 best = int(total.argmax())
                 names.append(fitted.languages[best])
                 scores.append(float(1.0 / np.exp(total - total[best]).sum()))
