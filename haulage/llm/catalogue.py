@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from haulage.llm import anchors, bpe, language, mixture, prints, quality, records, repeats
+from haulage.llm import anchors, bpe, language, minhash, mixture, prints, quality, records, repeats
 from haulage.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removed(_documents(spark, sf_dir))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(_documents(spark, sf_dir), words=3, percent=85)
+
+
 def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_documents(spark, sf_dir), WORD_BPE)
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_anchors": op5_anchors,
     "op6_fingerprints": op6_fingerprints,
     "op7_repeats": op7_repeats,
+    "op8_minhash": op8_minhash,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_mixture": op10_mixture,
 }
