@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from haulage.llm import anchors, bpe, language, minhash, mixture, prints, quality, records, repeats
+from haulage.llm import anchors, bpe, language, minhash, mixture, neighbours, prints, quality, records, repeats
 from haulage.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(spark, _documents(spark, sf_dir), PIECES)
 
 
+def op2_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -57,6 +61,7 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_permutations": op2_permutations,
     "op3_quality": op3_quality,
     "op4_records": op4_records,
     "op5_anchors": op5_anchors,
