@@ -143,7 +143,7 @@ def marked(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spans.settled(anchors, parts, inside=False).drop("h").write.parquet(folder)
     found = spark.read.schema("doc long, at long, kind int").parquet(folder)
     left = spans.by_document(found.where(F.col("kind") != spans.SETTLED))
-    windows = rows.select("doc", "th", "text").join(left, ["doc", "th"]).mapInArrow(_windows(cover), spans.ROWS)
+    windows = rows.join(left, ["doc", "th"]).mapInArrow(_windows(cover), spans.ROWS)
     repeated = spans.settled(windows, parts, inside=False).where(F.col("kind") == spans.SETTLED)
     marks = found.where(F.col("kind") == spans.SETTLED).select("doc", "at", F.lit(_ANCHOR).alias("kind"))
     marks = marks.unionByName(repeated.select("doc", "at", F.lit(_START).alias("kind")))
@@ -173,7 +173,7 @@ def _kept(cover: Cover, report: bool):
                 else:
                     out.append(((text if not gone else b" ".join(kept)).decode(), gone))
             names = schema.names[1:]
-            yield batches.rows(schema, doc_id=part.column("doc_id"), **{n: [o[i] for o in out] for i, n in enumerate(names)})
+            yield batches.rows(schema, doc_id=spans.ids(part.column("doc")), **{n: [o[i] for o in out] for i, n in enumerate(names)})
 
     return run
 
@@ -184,11 +184,11 @@ def removed(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Words are runs without ASCII white space. Windows are those of the whole input texts. NULL and empty texts have no words, a
     NULL id is the smallest, rows with equal ids do not remove from each other, other columns are not looked at.
     """
-    kept = marked(docs, window).select("doc_id", "text", "marks")
+    kept = marked(docs, window).select("doc", "text", "marks")
     return kept.mapInArrow(_kept(Cover(window), True), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text, n_removed): the texts themselves. A text that loses words has the others joined by single spaces."""
-    kept = marked(docs, window).select("doc_id", "text", "marks")
+    kept = marked(docs, window).select("doc", "text", "marks")
     return kept.mapInArrow(_kept(Cover(window), False), "doc_id long, text string, n_removed long")

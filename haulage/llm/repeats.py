@@ -10,7 +10,7 @@ bytes on their left is a maximal repeat, and all its suffixes are its occurrence
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from haulage.llm import batches, spans
 from haulage.llm.anchors import _marks
@@ -279,17 +280,17 @@ def _resolve(shape: Shape):
     return run
 
 
-def marked(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def marked(docs: DataFrame, length: int = LENGTH, keep: Sequence[str] = ()) -> DataFrame:
     """`spans.keyed` documents with lists of (pos, kind): anchors whose whole neighbourhood repeats (0) or spans of `kind` bytes."""
     spark = docs.sparkSession
     shape, parts = Shape(length), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = spans.keyed(docs)
+    rows = spans.keyed(docs, keep)
     anchors = rows.select("doc", "th", "text").mapInArrow(_anchored(shape), spans.ROWS)
     folder = scratch(spark, "repeats")
     spans.settled(anchors, parts, inside=True).write.parquet(folder)
     found = spark.read.schema(spans.FOUND).parquet(folder)
     left = spans.by_document(found.where(F.col("kind") != spans.SETTLED), "h", "kind")
-    around = rows.select("doc", "th", "text").join(left, ["doc", "th"]).mapInArrow(_neighbourhoods(shape), spans.ROWS)
+    around = rows.join(left, ["doc", "th"]).mapInArrow(_neighbourhoods(shape), spans.ROWS)
     resolved = around.repartition(parts, "h").sortWithinPartitions("h", "n", "doc", "at").mapInArrow(_resolve(shape), MARKS)
     marks = found.where(F.col("kind") == spans.SETTLED).select("doc", "at", F.lit(_ANCHOR).alias("kind")).unionByName(resolved)
     return rows.join(spans.by_document(marks, "kind"), ["doc", "th"], "left")
@@ -317,7 +318,7 @@ def _reported(shape: Shape):
                     pieces = int(out_of[:1].sum() + (out_of[1:] & ~out_of[:-1]).sum())
                     kept = np.frombuffer(text, np.uint8)[~out_of].tobytes()
                 out.append((len(text), gone, pieces, hashlib.sha256(kept).hexdigest()))
-            yield batches.rows(REPORT, doc_id=part.column("doc_id"), **{n: [o[i] for o in out] for i, n in enumerate(REPORT.names[1:])})
+            yield batches.rows(REPORT, doc_id=spans.ids(part.column("doc")), **{n: [o[i] for o in out] for i, n in enumerate(REPORT.names[1:])})
 
     return run
 
@@ -329,35 +330,34 @@ def removed(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     UTF-8, and do not cross documents. NULL texts are empty, a NULL id is the smallest; of rows with one id and different texts one
     is earlier (by a hash of the text); rows equal in id and text are one document; other columns are not looked at.
     """
-    return marked(docs, length).select("doc_id", "text", "marks").mapInArrow(
+    return marked(docs, length).select("doc", "text", "marks").mapInArrow(
         _reported(Shape(length)), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc_id, th, text, n_removed): the texts without repeated strings, for rows that lose some; `th` tells equal ids apart.
+    """`docs` with the repeated strings taken out of `text`; all rows and all columns stay, a text may become empty.
 
-    A character goes only if all its bytes are covered, so texts stay valid.
+    A character goes only if all its bytes are covered, so texts stay valid. A NULL text stays NULL.
     """
     shape = Shape(length)
-    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("text", pa.string()), ("n_removed", pa.int64())])
+    rows = marked(docs, length, keep=docs.columns).select("text", "marks", "rest")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches.slices(parts, most=SLICE):
             offsets, places, kinds = _marks(part)
-            texts, lost = [], []
+            texts = []
             for row, text in enumerate(batches.raw(part)):
                 own = slice(offsets[row], offsets[row + 1])
-                texts.append(text.decode())
-                lost.append(0)
                 if own.stop > own.start:
                     data = np.frombuffer(text, np.uint8)
-                    out_of = _cover(shape, len(text), places[own], kinds[own])
                     starts = np.flatnonzero((data & 0xC0) != 0x80)
-                    whole = np.minimum.reduceat(out_of, starts)
-                    out_of = np.repeat(whole, np.diff(np.append(starts, len(data))))
-                    texts[-1], lost[-1] = data[~out_of].tobytes().decode(), int(out_of.sum())
-            yield batches.rows(schema, doc_id=part.column("doc_id"), th=part.column("th"), text=texts, n_removed=lost)
+                    whole = np.minimum.reduceat(_cover(shape, len(text), places[own], kinds[own]), starts)
+                    text = data[~np.repeat(whole, np.diff(np.append(starts, len(data))))].tobytes()
+                texts.append(text.decode())
+            yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(texts, pa.string())], names=["rest", "cleaned"])
 
-    rows = marked(docs, length).where("marks IS NOT NULL").select("doc_id", "th", "text", "marks")
-    return rows.mapInArrow(run, "doc_id long, th long, text string, n_removed long")
+    made = rows.mapInArrow(run, StructType([rows.schema["rest"], StructField("cleaned", StringType())]))
+    kept = {c: F.col(f"rest.kept_{n}") for n, c in enumerate(docs.columns)}
+    kept["text"] = F.when(kept["text"].isNotNull(), F.col("cleaned"))
+    return made.select(*[kept[c].alias(c) for c in docs.columns])

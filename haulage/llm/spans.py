@@ -17,16 +17,17 @@ equal in id and text are one document.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.llm import batches
 
-MOST_CONTEXTS = 8
+MOST_CONTEXTS = 16
 MOST_CLASS = 256
 SETTLED, CLASS, HOT = 0, 1, 2
 NO_ID = -(2**63)
@@ -68,18 +69,26 @@ class Rolling:
         return batches.mix((sums[end] - sums[start]) * self.inverses[start])
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc, th, text): NULL texts become empty, NULL ids the smallest id; `th` is 31 bits of the text's hash."""
+def keyed(docs: DataFrame, keep: Sequence[str] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, th, text) and, with `keep`, those columns as `rest`: NULL texts become empty, NULL ids NO_ID, `th` is 31 bits of the text's hash.
+
+    All joins of an operator take just these columns, so that Spark shuffles the texts once for all of them.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    doc_id = F.col(id_col).cast("long")
+    rest = [F.struct(*[F.col(c).alias(f"kept_{n}") for n, c in enumerate(keep)]).alias("rest")] if keep else []
     return docs.select(
-        doc_id.alias("doc_id"),
-        F.coalesce(doc_id, F.lit(NO_ID)).alias("doc"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(text).bitwiseAND(0x7FFFFFFF).alias("th"),
         text.alias("text"),
+        *rest,
     )
 
 
+def ids(doc: pa.Array) -> pa.Array:
+    """Document ids, NULL again where there was none."""
+    return pc.if_else(pc.equal(doc, NO_ID), pa.scalar(None, pa.int64()), doc)
+
+
 def combined(h: np.ndarray, n: np.ndarray, doc: np.ndarray, at: np.ndarray, inside: bool) -> Iterator[pa.RecordBatch]:
     """The rows that one slice sends into the grouping. `inside`: an earlier place of the same document counts too."""
     if not len(h):
