@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from haulage.llm import anchors, bpe, language, minhash, mixture, neighbours, prints, quality, records, repeats
+from haulage.llm.statements import ORACLE
 from haulage.session import scratch
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,37 +72,5 @@ QUERIES = {
     "op9_bpe_trie": op9_bpe_trie,
     "op10_mixture": op10_mixture,
 }
-ORACLE: dict[str, str] = {
-    "op10_mixture": r"""
-WITH d AS (
-    SELECT doc_id, source, md5(doc_id::VARCHAR) AS turn_key,
-        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
-    FROM documents
-),
-s AS (
-    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source COLLATE "BINARY" NULLS LAST) AS n
-    FROM d GROUP BY source
-),
-w AS (SELECT *, CASE n % 3 WHEN 1 THEN 3.0::DOUBLE WHEN 2 THEN 1.0 ELSE 2.0 END AS weight, 2 * source_size AS most FROM s),
-l AS (
-    SELECT *, ((sum(source_size) OVER ()) * 3 / 2.0::DOUBLE
-        - coalesce(sum(most) OVER (ORDER BY most / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
-        / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY most / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
-    FROM w
-),
-t AS (
-    SELECT source, source_size, CASE WHEN level * weight > most THEN most::DOUBLE
-        ELSE weight * max(CASE WHEN level * weight <= most THEN level END) OVER () END AS target
-    FROM l
-),
-r AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS demand,
-        (sum(d.size) OVER (PARTITION BY d.source ORDER BY turn_key, doc_id, size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS supply
-    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
-)
-SELECT doc_id, size, source_size, target,
-    (CASE WHEN source_size = 0 THEN 0 ELSE (demand // source_size) * size
-        + greatest(0, least(size, demand % source_size - supply)) END)::BIGINT AS taken
-FROM r
-""",
-}
+
+__all__ = ["ORACLE", "QUERIES"]
