@@ -235,7 +235,8 @@ def links(docs: DataFrame, known: DataFrame, words: int, percent: int) -> DataFr
     )
     central = cells.select("centre", "cell").distinct().select("centre", F.col("centre").alias("doc"), "cell")
     texts = spans.keyed(docs).select("doc", "text")
-    full = cells.unionByName(central).join(texts, "doc").select("centre", "cell", "doc", "text")
+    # always by shuffle: what is compared grows with the texts, so it would outgrow a broadcast
+    full = cells.unionByName(central).join(texts.hint("merge"), "doc").select("centre", "cell", "doc", "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arranged = full.repartition(parts, "centre", "cell").sortWithinPartitions("centre", "cell", "doc")
     return arranged.mapInArrow(_verified(words, percent), "a long, b long")
