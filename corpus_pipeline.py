@@ -17,7 +17,7 @@ from haulage.session import scratch
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.5 or more. The classifier learns from all labelled documents among `docs`."""
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.scored(docs, model, score_col="quality_score").where("quality_score >= 0.5").select(*docs.columns)
+    return docs.where(quality.scorer(spark, model)(F.col("text")) >= 0.5)
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay = minhash.groups(docs, words=5, percent=80).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
     first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     known = docs.join(stay, docs["doc_id"] == stay["kept_id"], "left_semi")
-    one = known.withColumn("row_of_id", F.row_number().over(first)).where("row_of_id = 1")
-    return one.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    one = known.select(F.struct(*docs.columns).alias("row"), F.row_number().over(first).alias("turn")).where("turn = 1")
+    return one.select("row.*").unionByName(docs.where("doc_id IS NULL"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,7 +96,7 @@ def assigned(
     repeats: int = MOST_REPEATS,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Each document with what the mix takes of it, and `keep`, columns of `docs`.
+    """Each document with what the mix takes of it, and the columns `keep` of `docs` as a struct `kept` (kept_0, kept_1, …).
 
     doc_id, source, size, source_size, target; supply (words of the source before it), taken (words the mix takes, repeats
     counted: the document at the end of the source's demand in part) and position, the training time at which its first words
@@ -104,9 +104,10 @@ def assigned(
     rows are documents of their own; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    own = {name: f"kept_{n}" for n, name in enumerate(keep)}
+    own = ["kept"] if keep else []
+    whole = [F.struct(*[F.col(name).alias(f"kept_{n}") for n, name in enumerate(keep)]).alias("kept")] if keep else []
     sized = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"), *[F.col(k).alias(v) for k, v in own.items()]
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"), *whole
     )
     if not keep:  # small rows: counted once
         folder = scratch(spark, "mixture-sizes")
@@ -123,7 +124,7 @@ def assigned(
     running = sized.withColumn("inside", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     same = F.col("r.source").eqNullSafe(F.col("f.source")) & (F.col("r.bucket") == F.col("f.bucket"))
     placed = running.alias("r").join(facts.alias("f"), same).select(
-        "doc_id", "r.source", "size", "source_size", "target", "number", (F.col("inside") + F.col("bucket_start")).alias("supply"), *own.values()
+        "doc_id", "r.source", "size", "source_size", "target", "number", (F.col("inside") + F.col("bucket_start")).alias("supply"), *own
     )
     demand = F.round("target").cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(demand / F.col("source_size"))).otherwise(0).cast("long")
@@ -132,8 +133,7 @@ def assigned(
     placed = placed.withColumn("rounds", rounds).withColumn("part", part.cast("long"))
     placed = placed.withColumn("taken", F.col("rounds") * F.col("size") + F.col("part"))
     at = position(F.col("supply") / F.col("target"), F.col("number"), schedules)
-    placed = placed.withColumn("position", F.when(F.col("taken") > 0, at))
-    return placed.withColumnsRenamed({v: k for k, v in own.items() if k not in ("doc_id", "source")})
+    return placed.withColumn("position", F.when(F.col("taken") > 0, at))
 
 
 def position(share: Column, number: Column, schedules: Sequence[Schedule]) -> Column:
@@ -156,4 +156,5 @@ def curriculum(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, share
     each = taken.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     share = (F.col("copy") * F.col("source_size") + F.col("supply")) / F.col("target")
     each = each.withColumn("place", position(F.least(share, F.lit(1.0)), F.col("number"), schedules))
-    return each.repartitionByRange(F.col("place"), F.col("doc_id")).sortWithinPartitions("place", "doc_id").select(*names)
+    ordered = each.repartitionByRange(F.col("place"), F.col("doc_id")).sortWithinPartitions("place", "doc_id")
+    return ordered.select(*[F.col(f"kept.kept_{n}").alias(name) for n, name in enumerate(names)])

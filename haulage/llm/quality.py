@@ -162,9 +162,8 @@ def _measures(good: bytes, bad: bytes):
     return run
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """`docs` with the probability of label 1 as `score_col`. NULL and empty texts get the curve's constant."""
-    spark = docs.sparkSession
+def scorer(spark: SparkSession, model: Model):
+    """A function of a text column: the probability of label 1. NULL and empty texts get the curve's constant."""
     given = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -172,16 +171,16 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
         fitted: Model = given.value
         measure = Measure(fitted.good, fitted.bad) if fitted.good else None
         for texts in parts:
-            yield pd.Series(
-                [fitted.probability(*(measure.of(t.encode() if t else None) if measure else (0.0, 0.0))) for t in texts], dtype="float64"
-            )
+            found = [fitted.probability(*(measure.of(t.encode() if t else None) if measure else (0.0, 0.0))) for t in texts]
+            yield pd.Series(found, dtype="float64")
 
-    return docs.withColumn(score_col, score(F.col(text_col).cast("string")))
+    return score
 
 
 def judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
     """(doc_id, held_out, score, predicted): learn from rows whose CRC-32 of the id's digits leaves another remainder than `held`."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
     model = learn(docs.where(fold != held), labels.where(fold != held))
-    rows = scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold == held).alias("held_out")), model)
+    score = scorer(spark, model)(F.col("text").cast("string")).alias("score")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold == held).alias("held_out"), score)
     return rows.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
