@@ -35,19 +35,29 @@ def num(value: float) -> Column:
 # ---- exact sums -----------------------------------------------------------------------------------
 
 
-def exact_sum(c: Column | str, scale: int = 4) -> Column:
-    """Sum of a double column over fixed-point units: the result does not depend on row order.
+def exact_sum(c: Column | str, scale: int = 9) -> Column:
+    """Sum of a double column in decimal units: the result does not depend on row order.
 
-    Values become whole units of 10^-scale and are summed as two BIGINTs (high and low bits), which stays
-    in generated code and cannot overflow before 9e24 units. One value must be below 9e18 units.
+    Values count to `scale` decimals (at most 9), those from 1e5 on to 4 at most: as far as a double holds
+    decimals. Whole units and decimals are summed as BIGINTs, the whole ones in two halves, which stays in generated code and holds
+    2e9 rows of any size. A value that is not below 9e18, or no number, raises.
     """
-    units = F.floor(_col(c) * num(10**scale) + num(0.5))
-    high, low = F.sum(F.shiftright(units, 20)), F.sum(units.bitwiseAND(F.lit(2**20 - 1)))
-    whole = high.cast("decimal(30,0)") * F.lit(2**20).cast("decimal(7,0)") + low.cast("decimal(30,0)")
-    return whole.cast("double") / num(10**scale)
+    value = _col(c).cast("double")
+    checked = F.when(F.abs(value) >= num(9e18), F.raise_error(F.lit("exact_sum: a value is out of range"))).otherwise(value)
+    whole = F.floor(checked)
+    part = value - whole.cast("double")
 
+    def rounded(digits: int) -> Column:
+        return F.floor(part * num(10**digits) + num(0.5)) * F.lit(10 ** (9 - digits))
 
-def exact_avg(c: Column | str, scale: int = 4) -> Column:
+    fine = F.when(F.abs(value) >= num(1e5), rounded(min(scale, 4))).otherwise(rounded(scale))
+    high, low = F.sum(F.shiftright(whole, 32)), F.sum(whole.bitwiseAND(F.lit(2**32 - 1)))
+    units = (high.cast("decimal(18,0)") * F.lit(2**32).cast("decimal(10,0)")).cast("decimal(28,0)") + low.cast("decimal(20,0)")
+    decimals = F.sum(fine).cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")
+    return (units.cast("decimal(28,0)") + decimals).cast("double")
+
+
+def exact_avg(c: Column | str, scale: int = 9) -> Column:
     """Mean of the non-null values built on exact_sum; NULL for an empty group."""
     return F.try_divide(exact_sum(c, scale), F.count(_col(c)).cast("double"))
 

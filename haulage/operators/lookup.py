@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a lookup that still go to every executor; about 100 bytes each.
-BROADCAST_ROWS = 500_000
+# Bytes of a lookup that still go to every executor.
+BROADCAST_BYTES = 64 << 20
+_FIXED = 16  # bytes that a value takes beside the characters of a text
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df`, marked for broadcast when it is counted to have at most `rows` rows, else as it is.
+def sized(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """`df`, marked for broadcast when its measured size is at most `most` bytes, else as it is.
 
     The size estimate of a lookup that is itself a join or an aggregate is far too high, and the large
-    side would be shuffled by the lookup key, hot keys included. The count stops at the limit. Beyond it
-    the join is a shuffled one, whose hot keys are split at run time.
+    side would be shuffled by the lookup key, hot keys included. Rows and characters are summed in each task
+    first, so one row per task is exchanged. Beyond the limit the join is a shuffled one, whose hot
+    keys are split at run time.
     """
-    seen = df.limit(rows + 1).agg(F.count(F.lit(1))).head()[0]
-    return F.broadcast(df) if seen <= rows else df
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema if f.dataType.typeName() not in _PLAIN]
+    width = sum(texts, F.lit(_FIXED * (len(df.columns) + 1)))
+    size = df.agg(F.sum(width.cast("long"))).head()[0] or 0
+    return F.broadcast(df) if size <= most else df
+
+
+_PLAIN = {"boolean", "byte", "short", "integer", "long", "float", "double", "date", "timestamp", "timestamp_ntz"}

@@ -15,7 +15,7 @@ def invoice_totals(items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_itens"),
         c.exact_sum("valor_total").alias("valor_nf"),
         c.exact_sum("peso_kg").alias("peso_nf_kg"),
-        c.exact_sum(volume, 4).alias("volume_nf_m3"),
+        c.exact_sum(volume).alias("volume_nf_m3"),
     )
 
 
@@ -28,7 +28,7 @@ def order_totals(items: DataFrame) -> DataFrame:
             F.sum("total_itens").alias("total_itens"),
             c.exact_sum("valor_nf").alias("valor_mercadoria"),
             c.exact_sum("peso_nf_kg").alias("peso_total_kg"),
-            c.exact_sum("volume_nf_m3", 4).alias("volume_total_m3"),
+            c.exact_sum("volume_nf_m3").alias("volume_total_m3"),
         )
     )
 

@@ -61,6 +61,18 @@ def test_exact_sum_equals_integer_sum(spark, cents):
     assert df.agg(c.exact_sum("x", 2)).head()[0] == sum(cents) / 100
 
 
+@pytest.mark.parametrize("value, rows, total", [(0.00001, 1000, 0.01), (1e15, 1000, 1e18), (-1e15, 1000, -1e18), (-0.25, 7, -1.75)])
+def test_exact_sum_of_small_and_large_values(spark, value, rows, total):
+    df = spark.range(rows).select(c.num(value).alias("x"))
+    assert df.agg(c.exact_sum("x")).head()[0] == total
+
+
+@pytest.mark.parametrize("value", [1e19, float("nan"), float("-inf")])
+def test_exact_sum_refuses_what_it_cannot_hold(spark, value):
+    with pytest.raises(Exception, match="out of range"):
+        spark.createDataFrame([(value,)], "x double").agg(c.exact_sum("x")).collect()
+
+
 def test_exact_sum_beyond_bigint_units(spark):
     df = spark.range(4000).select(F.lit(5e11).alias("x"))
     assert df.agg(c.exact_sum("x")).head()[0] == 2e15

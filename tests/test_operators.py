@@ -84,8 +84,8 @@ def test_sized_broadcasts_only_what_it_counted(spark):
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(lookup.sized(spark.range(10), rows=10))
-    assert not hinted(lookup.sized(spark.range(11), rows=10))
+    assert hinted(lookup.sized(spark.range(10), most=320))
+    assert not hinted(lookup.sized(spark.range(11), most=320))
 
 
 def test_order_load_links(spark, rows):

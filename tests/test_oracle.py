@@ -31,9 +31,12 @@ def test_query_matches_its_statement(spark, db, name):
     assert oracle.compare(catalogue.queries()[name](spark, SMALL), db, TEXTS[name]) is None
 
 
-@pytest.mark.parametrize("name", ["demand_forecast", "table_inventory"])
+@pytest.mark.parametrize("name", ["demand_forecast", "forecast_metrics", "feature_importance", "table_inventory"])
 def test_query_gives_rows(spark, name):
-    assert catalogue.queries()[name](spark, SMALL).count() >= 0
+    frame = catalogue.queries()[name](spark, SMALL)
+    assert frame.columns and frame.schema == catalogue.queries()[name](spark, SMALL).schema
+    if name in ("forecast_metrics", "feature_importance"):
+        assert frame.count() > 0
 
 
 @pytest.fixture(scope="module")
