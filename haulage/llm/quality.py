@@ -105,7 +105,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS
         share = F.when(F.col("quality") == quality, min(1.0, per_class / n)).otherwise(share)
     spread = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1_000_003)) / 1_000_003
     chosen = marks.where(spread("doc_id") < share)
-    used = docs.where("text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id")
+    used = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about 2 * per_class rows
     used = used.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)))
     cut = pa.schema([("quality", pa.int32()), ("block", pa.binary()), ("pick", pa.int64())])
 
