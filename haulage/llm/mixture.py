@@ -114,17 +114,18 @@ def assigned(
         sized.write.parquet(folder)
         sized = spark.read.schema("doc_id long, source string, size long").parquet(folder)
     sized = sized.withColumn("turn_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = sized.withColumn("bucket", F.substring("turn_key", 1, BUCKET_DIGITS))
-    sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    # `home` is the source without NULL, so that windows and joins share one shuffle by (home, bucket)
+    sized = sized.withColumns({"bucket": F.substring("turn_key", 1, BUCKET_DIGITS), "home": F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))})
+    sums = sized.groupBy("home", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("bucket_size"))
     goal = targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), schedules, share_percent, repeats)
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("source", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("bucket_start"))
-    facts = starts.alias("s").join(goal.alias("g"), F.col("s.source").eqNullSafe(F.col("g.source"))).select("s.*", "source_size", "number", "target")
-    inside = Window.partitionBy("source", "bucket").orderBy("turn_key", "doc_id", "size")
+    goal = goal.withColumn("home", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).drop("source")
+    earlier = Window.partitionBy("home").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("home", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("bucket_start"))
+    facts = starts.join(goal, "home")
+    inside = Window.partitionBy("home", "bucket").orderBy("turn_key", "doc_id", "size")
     running = sized.withColumn("inside", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    same = F.col("r.source").eqNullSafe(F.col("f.source")) & (F.col("r.bucket") == F.col("f.bucket"))
-    placed = running.alias("r").join(facts.alias("f"), same).select(
-        "doc_id", "r.source", "size", "source_size", "target", "number", (F.col("inside") + F.col("bucket_start")).alias("supply"), *own
+    placed = running.join(facts.hint("merge"), ["home", "bucket"]).select(
+        "doc_id", "source", "size", "source_size", "target", "number", (F.col("inside") + F.col("bucket_start")).alias("supply"), *own
     )
     demand = F.round("target").cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(demand / F.col("source_size"))).otherwise(0).cast("long")
