@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from haulage.llm import batches, vocabulary
 
 #: Words and token pairs a task remembers before it starts its memory anew. It affects time only.
-WORDS_KEPT, PAIRS_KEPT = 250_000, 600_000
+WORDS_KEPT, PAIRS_KEPT = 150_000, 300_000
 
 DIGEST = pa.schema(
     [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
@@ -233,6 +233,12 @@ class Encoder:
             self.spelt[word] = " ".join([texts[n] for n in ids])
         gc.enable()
 
+    def forget(self) -> None:
+        """At the end of a task: idle workers must not hold the memory that later stages need."""
+        self.ids.clear()
+        self.spelt.clear()
+        self.words.pairs.clear()
+
     def encode_slice(self, texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
         """Ids as little-endian unsigned 32-bit integers, and the decoded text, of each text. NULL is like empty."""
         split = [self.split(t) if t else [] for t in texts]
@@ -264,6 +270,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
             made = list(enc.encode_slice(batches.strings(part)))
             ids = [np.frombuffer(i, "<u4").astype(np.int32) for i, _ in made]
             yield batches.rows(schema, doc_id=part.column("doc_id"), ids=ids, decoded=[d for _, d in made])
+        enc.forget()
 
     return _picked(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
@@ -280,6 +287,7 @@ def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
                 one.append(hashlib.sha256(ids).hexdigest())
                 two.append(hashlib.sha256(decoded.encode()).hexdigest())
             yield batches.rows(DIGEST, doc_id=part.column("doc_id"), n_tokens=n, ids_sha256=one, decoded_sha256=two)
+        enc.forget()
 
     return _picked(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
