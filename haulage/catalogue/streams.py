@@ -12,7 +12,7 @@ from haulage.plans import refresh
 from haulage.session import scratch
 from haulage.sources import landing, schemas
 from haulage.sources import star_schema as star
-from haulage.streaming import bronze, live, silver
+from haulage.streaming import bronze, silver
 
 _MOMENT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -33,10 +33,10 @@ def land_status(spark: SparkSession, sf_dir: str, layout: str = "lines") -> refr
     return refresh.Inputs(customers=star.customers(spark, sf_dir), status=folder, layout=layout)
 
 
-def _run(spark: SparkSession, given: refresh.Inputs) -> refresh.Lake:
+def _run(spark: SparkSession, given: refresh.Inputs, *targets: str) -> refresh.Lake:
     lake = refresh.Lake(scratch(spark, "lake"))
     refresh.ingest(spark, lake, given)
-    refresh.clean(spark, lake, given)
+    refresh.clean(spark, lake, given, targets)
     return lake
 
 
@@ -65,14 +65,14 @@ def stream_ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders through bronze and silver: rules, customer join and date parts on the stream."""
-    lake = _run(spark, land_orders(spark, sf_dir))
+    lake = _run(spark, land_orders(spark, sf_dir), "silver_pedidos")
     stored = refresh.read(spark, lake, "silver_pedidos")
     return plain(stored.select("id_pedido", "razao_social", "cidade_cliente", "data_pedido", "valor_frete", "ano", "mes", "dia"))
 
 
 def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items exploded on the stream."""
-    lake = _run(spark, land_orders(spark, sf_dir))
+    lake = _run(spark, land_orders(spark, sf_dir), "silver_itens_nf")
     stored = refresh.read(spark, lake, "silver_itens_nf")
     return plain(stored.select("id_pedido", "id_nf", "id_item", "descricao", "ncm", "quantidade", "valor_total_item", "comprimento_cm"))
 
@@ -80,7 +80,7 @@ def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts over the ingested orders and the rows left in silver."""
     given = land_orders(spark, sf_dir)
-    lake = _run(spark, given)
+    lake = _run(spark, given, "silver_pedidos")
     bronze_rows = silver.first_parts(refresh.read(spark, lake, "bronze_pedidos"))
     found = rules.report(silver.enrich_orders(bronze_rows, given.customers), silver.ORDER_RULES)
     kept = refresh.read(spark, lake, "silver_pedidos").agg(F.count(F.lit(1))).scalar()
@@ -89,19 +89,25 @@ def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status events joined to the names of their codes on the stream."""
-    lake = _run(spark, land_status(spark, sf_dir))
+    lake = _run(spark, land_status(spark, sf_dir), "silver_status")
     stored = refresh.read(spark, lake, "silver_status")
     return plain(stored.select("id_carga", "id_status", "descricao_status", "ordem", "timestamp", "latitude", "longitude"))
 
 
+def stream_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices through bronze and silver: none is lost or counted twice, whatever the limits of a document."""
+    lake = _run(spark, land_orders(spark, sf_dir), "silver_notas_fiscais")
+    return plain(refresh.invoices(spark, lake).select("id_pedido", "id_nf", "itens", "valor_itens"))
+
+
 def stream_without_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events land twice; the watermarked stream keeps one of each."""
+    """The events land twice, in several micro-batches and not in order; one of each is stored."""
     folder, lake = scratch(spark, "replayed"), refresh.Lake(scratch(spark, "lake"))
     events = star.status_events(spark, sf_dir)
-    for mode in ("error", "append"):
-        events.write.mode(mode).parquet(folder)
-    unique = live.without_replays(bronze.table_stream(spark, folder), ["id_movimento"], delay="3650 days")
-    bronze.finish(bronze.append(unique, lake.table("eventos"), lake.checkpoint("eventos")))
+    for mode, part in (("error", "id_movimento % 3 <> 0"), ("append", "id_movimento % 2 = 0"), ("append", "true")):
+        events.where(part).coalesce(2).write.mode(mode).parquet(folder)
+    source = bronze.table_stream(spark, folder, max_files=2)
+    bronze.finish(bronze.append_new(source, lake.table("eventos"), lake.checkpoint("eventos"), ["id_movimento"]))
     return plain(refresh.read(spark, lake, "eventos").select("id_movimento", "id_carga", "id_status", "timestamp"))
 
 
@@ -109,7 +115,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         stream_ingest_orders, stream_ingest_status, stream_orders, stream_items, stream_rules, stream_status_lookup,
-        stream_without_replays,
+        stream_invoices, stream_without_replays,
     )
 }
 
@@ -132,13 +138,15 @@ ORACLE = {
         FROM itens WHERE quantidade > 0"""
     ),
     "stream_rules": oracle(
-        "SELECT regra, acao, total, aprovadas, total - aprovadas AS violacoes, (SELECT COUNT(*) FROM silver) AS mantidas FROM ("
-        + " UNION ALL ".join(
-            f"SELECT '{r.name}' AS regra, '{'drop' if r.drop else 'warn'}' AS acao, COUNT(*) AS total, "
-            f"COUNT(*) FILTER ({r.condition}) AS aprovadas FROM pedidos"
-            for r in silver.ORDER_RULES
-        )
-        + ")"
+        """SELECT regra, acao, total, aprovadas, total - aprovadas AS violacoes, (SELECT COUNT(*) FROM silver) AS mantidas FROM (
+        SELECT 'id_pedido_valido' AS regra, 'drop' AS acao, COUNT(*) AS total, COUNT(id_pedido) AS aprovadas FROM pedidos
+        UNION ALL SELECT 'peso_positivo', 'warn', COUNT(*), COUNT(*) FILTER (peso_total_kg > 0) FROM pedidos
+        UNION ALL SELECT 'valor_frete_valido', 'drop', COUNT(*), COUNT(*) FILTER (valor_frete >= 0) FROM pedidos
+        UNION ALL SELECT 'data_pedido_legivel', 'warn', COUNT(*), COUNT(data_pedido) FROM pedidos)"""
+    ),
+    "stream_invoices": oracle(
+        """SELECT id_pedido, id_nf, COUNT(*) AS itens, CAST(SUM(CAST(valor_total AS DECIMAL(18,4))) AS DOUBLE) AS valor_itens
+        FROM itens GROUP BY 1, 2"""
     ),
     "stream_status_lookup": oracle(
         "SELECT id_carga, id_status, descricao_status, ordem, timestamp, latitude, longitude FROM silver_eventos"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulage.operators.lookup import sized
+from haulage.operators.skew import number_within
 
 ITEMS_PER_INVOICE = 500
 INVOICES_PER_DOCUMENT = 200
@@ -30,17 +31,20 @@ def _oversized(df: DataFrame, key: str, limit: int) -> bool:
 
 
 def _parted(df: DataFrame, key: str, limit: int, name: str, spread_by: list[str]) -> DataFrame:
-    """Number that cuts a key with more than `limit` rows into about equal parts; 0 always exists."""
-    code = F.xxhash64(*spread_by)
-    big = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(code).alias("_low"))
-        .filter(F.col("_n") > limit)
-        .select(key, "_low", F.ceil(F.col("_n") / limit).alias("_parts"))
-    )
-    hashed = F.pmod(code, F.coalesce(F.col("_parts"), F.lit(1))).cast("int")
-    chosen = F.when(code == F.col("_low"), F.lit(0)).otherwise(hashed)
-    return df.join(sized(big), key, "left").withColumn(name, chosen).drop("_parts", "_low")
+    """Number that cuts a key with more than `limit` rows into parts of at most `limit` rows; 0 always exists.
+
+    Rows of long keys are numbered within their key. Equal rows are first counted and get an index each, so
+    that they can be told apart and are spread like others.
+    """
+    columns = df.columns
+    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select(F.col(key).alias("_key"))
+    marked = df.join(sized(big), F.col(key).eqNullSafe(F.col("_key")), "left")
+    short = marked.filter(F.col("_key").isNull()).select(*columns, F.lit(0).alias(name))
+    long = marked.filter(F.col("_key").isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    each = long.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    coded = each.withColumn("_code", F.xxhash64(*spread_by))
+    numbered = number_within(coded, [key], ["_code", "_copy"], index="_at", total="_all")
+    return short.unionByName(numbered.select(*columns, F.floor((F.col("_at") - 1) / limit).cast("int").alias(name)))
 
 
 def nest_orders(
@@ -52,8 +56,9 @@ def nest_orders(
 ) -> DataFrame:
     """Nested documents, one per order; `notas_fiscais` is NULL for an order without invoices.
 
-    A list is never longer than the limits (up to hash spread): an order beyond them continues in further
-    documents with `parte` 1, 2, …, which repeat the header. Readers take headers from parte 0 only.
+    A list is never longer than the limits: an order beyond them continues in further
+    documents with `parte` 1, 2, …, which repeat the header. Readers take headers from parte 0 only,
+    and an invoice cut into several structs repeats its header: see `explode_invoices`.
     Group sizes are counted first; only if one is over its limit is the extra join for parts made.
     """
     long_invoices = _oversized(items, "id_nf", items_per_invoice)
@@ -98,6 +103,31 @@ def explode_items(orders: DataFrame, carry: list[str]) -> DataFrame:
     )
 
 
+def explode_invoices(orders: DataFrame) -> DataFrame:
+    """One row per invoice struct: header, number, value and weight of its items. Works on a stream.
+
+    An invoice over the limits gives several rows; `invoices` brings them together.
+    """
+    def total(field):
+        return _array_sum(F.coalesce("nf.itens", F.array()), lambda it: it[field].cast("decimal(18,4)"))
+
+    return orders.select(F.explode("notas_fiscais").alias("nf")).select(
+        *[f"nf.{c}" for c in INVOICE_FIELDS],
+        F.greatest(F.size("nf.itens"), F.lit(0)).cast("bigint").alias("itens"),
+        total("valor_total").alias("valor_itens"),
+        total("peso_kg").alias("peso_itens_kg"),
+    )
+
+
+def invoices(rows: DataFrame) -> DataFrame:
+    """Invoice grain: the rows of `explode_invoices` with one row for each id_nf, its items summed over all parts."""
+    return rows.groupBy(*INVOICE_FIELDS).agg(
+        F.sum("itens").alias("itens"),
+        F.sum("valor_itens").cast("double").alias("valor_itens"),
+        F.sum("peso_itens_kg").cast("double").alias("peso_itens_kg"),
+    )
+
+
 def _array_sum(array: Column, value) -> Column:
     zero = F.lit(0).cast("decimal(38,4)")
     return F.aggregate(array, zero, lambda acc, x: (acc + F.coalesce(value(x), zero)).cast("decimal(38,4)"))

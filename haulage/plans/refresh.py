@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulage.operators import nesting
 from haulage.plans import gold
 from haulage.sources import schemas
 from haulage.streaming import bronze, silver
 
 WRITERS_PER_FOLDER = 4
-STREAM_TABLES = ("bronze_pedidos", "bronze_nfs", "bronze_status", "silver_pedidos", "silver_itens_nf", "silver_status")
 
 
 @dataclass(frozen=True)
@@ -61,19 +62,25 @@ def ingest(spark: SparkSession, lake: Lake, given: Inputs) -> None:
     bronze.finish_all(running)
 
 
-def clean(spark: SparkSession, lake: Lake, given: Inputs) -> None:
-    """Silver: new bronze rows through rules and lookups. Orders are stored by year and month."""
+def clean(spark: SparkSession, lake: Lake, given: Inputs, targets: Collection[str] | None = None) -> None:
+    """Silver: new bronze rows through rules and lookups. Orders are stored by year and month.
+
+    `targets` names the tables to bring up to date; the others keep their place in the stream for a later call.
+    """
     steps = []
     if given.orders:
         steps.append(
             ("bronze_pedidos", "silver_pedidos", lambda df: silver.orders(df, given.customers), ("ano", "mes"))
         )
         steps.append(("bronze_pedidos", "silver_itens_nf", silver.items, ()))
+        steps.append(("bronze_pedidos", "silver_notas_fiscais", silver.invoices, ()))
     if given.status:
         names = schemas.status_reference(spark)
         steps.append(("bronze_status", "silver_status", lambda df: silver.status(df, names), ()))
     running = []
     for source, target, change, parts in steps:
+        if targets is not None and target not in targets:
+            continue
         rows = change(bronze.table_stream(spark, lake.table(source), given.max_files))
         if parts:
             # A few writers per folder: not one file per task and month, nor one task for a busy month.
@@ -88,6 +95,11 @@ def read(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.parquet(lake.table(name))
 
 
+def invoices(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Silver invoices at invoice grain."""
+    return nesting.invoices(read(spark, lake, "silver_notas_fiscais"))
+
+
 def aggregate(spark: SparkSession, lake: Lake, given: Inputs) -> None:
     """Gold: recomputed from the whole silver layer and overwritten."""
     results = {}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,6 +47,31 @@ def append(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, .
     return writer.trigger(availableNow=True).start(path)
 
 
+def append_new(df: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """Like `append`, without rows whose keys are stored already, however late either of them comes.
+
+    What has been seen is the table itself, so there is no state to bound and no first-seen row is lost. Each
+    micro-batch is joined with the key columns of the table. A batch that runs again after a failure finds its own rows
+    stored. NULL keys are equal to one another.
+    """
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(keys)
+        try:
+            stored = spark.read.schema(batch.schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            seen = stored.select(*[F.col(k).alias(f"_seen{n}") for n, k in enumerate(keys)])
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_seen{n}")) for n, k in enumerate(keys)])
+            fresh = fresh.join(seen, same, "left_anti")
+        fresh.write.mode("append").parquet(path)
+
+    writer = df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for the end; a failed query raises here."""
     query.awaitTermination()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from haulage.functions import columns as c
 from haulage.operators import rules
 from haulage.operators.lookup import sized
-from haulage.operators.nesting import explode_items
+from haulage.operators.nesting import explode_invoices, explode_items
 from haulage.operators.rules import Rule
 
 ORDER_RULES = (
@@ -59,7 +59,14 @@ def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def orders(bronze: DataFrame, customers: DataFrame, metrics: str | None = "regras_pedidos") -> DataFrame:
-    return rules.apply(enrich_orders(first_parts(bronze), customers), ORDER_RULES, metrics)
+    """Order headers. Invoices are a table of their own (`invoices`): a continuation document holds further ones."""
+    headers = first_parts(bronze).drop("notas_fiscais")
+    return rules.apply(enrich_orders(headers, customers), ORDER_RULES, metrics)
+
+
+def invoices(bronze: DataFrame) -> DataFrame:
+    """Invoices of all documents of an order, one row per struct; `nesting.invoices` gives the invoice grain."""
+    return c.with_moment(explode_invoices(bronze), "data_emissao")
 
 
 def items(bronze: DataFrame, metrics: str | None = "regras_itens") -> DataFrame:

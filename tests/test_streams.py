@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from haulage.operators import nesting
 from haulage.plans import refresh
 from haulage.session import scratch, scratch_root
 from haulage.sources import landing, schemas
@@ -119,13 +120,48 @@ def test_newest_status_on_a_stream(spark, tmp_path, rows):
     assert rows(spark.table("newest"), "id_carga", "id_status") == [(1, 12), (2, 12), (3, 9)]
 
 
-def test_replays_are_dropped(spark, tmp_path):
-    at = F.when(F.col("id") != 7, F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 60))  # one without a time
-    df = spark.range(20).select(F.col("id").alias("e"), at.alias("timestamp"))
-    df.union(df).write.parquet(f"{tmp_path}/in")
-    stream = live.without_replays(bronze.table_stream(spark, f"{tmp_path}/in"), ["e"])
-    bronze.finish(bronze.append(stream, f"{tmp_path}/out", f"{tmp_path}/c"))
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 20
+def test_replays_are_dropped_and_late_events_kept(spark, tmp_path, rows):
+    """Micro-batches out of order: repeats within a batch, over batches and over runs go, the first of each key stays."""
+    folder, out, done = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/c"
+
+    def land(*events):
+        spark.createDataFrame(events, "e long, timestamp string").coalesce(1).write.mode("append").parquet(folder)
+
+    def run():
+        bronze.finish(bronze.append_new(bronze.table_stream(spark, folder, max_files=1), out, done, ["e"]))
+        return rows(spark.read.parquet(out), "e")
+
+    land((1, "2025-01-01 10:00:00"), (1, "2025-01-01 10:00:00"), (2, "2025-01-01 12:00:00"))
+    land((2, "2025-01-01 12:00:00"), (3, "2024-01-01 08:00:00"), (None, None))
+    land((4, "2019-01-01 00:00:00"), (1, "2025-01-01 10:00:00"), (None, None))
+    assert run() == [(1,), (2,), (3,), (4,), (None,)]
+    land((5, "2000-01-01 00:00:00"), (3, "2024-01-01 08:00:00"))
+    assert run() == [(1,), (2,), (3,), (4,), (5,), (None,)] == run()
+
+
+def test_no_invoice_is_lost(spark, tmp_path, given):
+    """1,000 invoices in one order, and 20,000 equal items in one invoice: lists keep to the limits, nothing goes missing."""
+    header = spark.createDataFrame([(1, 10.0), (2, 20.0)], "id_pedido long, valor_frete double")
+    notes = spark.range(1001).select(
+        F.col("id").alias("id_nf"), F.lit("000001").alias("numero_nf"), F.when(F.col("id") < 1000, 1).otherwise(2).cast("long").alias("id_pedido"),
+        F.lit("2025-01-01 00:00:00").alias("data_emissao"), F.lit(3.0).alias("valor_total"), F.lit("k").alias("chave_acesso"),
+    )
+    items = spark.range(21_000).select(
+        F.lit(7).cast("long").alias("id_item"), F.when(F.col("id") < 20_000, 1000).otherwise(F.col("id") - 20_000).alias("id_nf"),
+        F.lit("x").alias("descricao"), F.lit("1").alias("ncm"), F.lit(1).alias("quantidade"), F.lit("UN").alias("unidade"),
+        *[F.lit(0.5).alias(n) for n in ("valor_unitario", "valor_total", "peso_kg", "comprimento_cm", "largura_cm", "altura_cm")],
+    )
+    nested = nesting.nest_orders(header, notes, items)
+    path = str(tmp_path / "nested")
+    nested.write.parquet(path)
+    nested = spark.read.parquet(path)
+    sizes = nested.select(F.size("notas_fiscais").alias("n"), F.array_max(F.transform("notas_fiscais", lambda nf: F.size(nf["itens"]))).alias("m"))
+    assert sizes.filter(f"n > {nesting.INVOICES_PER_DOCUMENT} OR m > {nesting.ITEMS_PER_INVOICE}").count() == 0
+    assert nested.filter("parte = 0").count() == 2
+    found = nesting.invoices(silver.invoices(nested))
+    assert found.agg(F.count("*"), F.sum("itens"), F.sum("valor_itens")).head() == (1001, 21_000, 10_500.0)
+    assert found.filter("id_nf = 1000").select("itens", "valor_itens").collect() == [(20_000, 10_000.0)]
+    assert nesting.explode_items(nested, ["id_pedido"]).count() == 21_000
 
 
 @pytest.mark.parametrize("layout", landing.LAYOUTS)
