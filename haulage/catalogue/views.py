@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haulage.catalogue.shared import eavg, esum, half_up, oracle, plain
 from haulage.catalogue.status import order_status
@@ -36,6 +39,20 @@ def daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(views.daily_volume(star.silver_orders(spark, sf_dir)))
 
 
+def totals_of_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that came twice count once on the map, in the figures, by day and by route alike."""
+    once = star.silver_orders(spark, sf_dir)
+    twice = once.unionByName(once)
+    mapped = views.delivery_map(twice, order_status(spark, sf_dir), star.customers(spark, sf_dir))
+    totals = {
+        "mapa": mapped.agg(F.count(F.lit(1)).alias("pedidos")),
+        "indicadores": views.kpi_row(twice, order_status(spark, sf_dir), star.loads(spark, sf_dir)).select(F.col("total_pedidos").alias("pedidos")),
+        "dias": views.daily_volume(twice).agg(F.sum("total_pedidos").alias("pedidos")),
+        "rotas": gold.route_volume(twice).agg(F.sum("total_pedidos").alias("pedidos")),
+    }
+    return plain(reduce(DataFrame.unionByName, [f.select(F.lit(name).alias("onde"), "pedidos") for name, f in totals.items()]))
+
+
 def volume_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(views.volume_by_state(_mapped(spark, sf_dir)))
 
@@ -89,13 +106,14 @@ QUERIES = {
     for f in (
         delivery_map, kpi_row, daily_volume, volume_by_state, driver_performance, q_state_volume, q_top10_freight,
         q_delivery_rate_7d, q_best_rated, q_pending_map, q_avg_weight_route, q_open_express, q_avg_freight_state,
-        q_top5_drivers, q_daily_last_week,
+        q_top5_drivers, q_daily_last_week, totals_of_replays,
     )
 }
 
 _OPEN = "(id_status IS NULL OR id_status NOT IN (12, 13, 14))"
 
 ORACLE = {
+    "totals_of_replays": oracle("SELECT onde, pedidos FROM (SELECT COUNT(*) AS pedidos FROM silver), UNNEST(['mapa', 'indicadores', 'dias', 'rotas']) AS t(onde)"),
     "delivery_map": oracle("SELECT * EXCLUDE (id_status) FROM mapa"),
     "kpi_row": oracle(
         f"""SELECT COUNT(DISTINCT id_pedido) AS total_pedidos,

@@ -17,8 +17,14 @@ def newest_event_order(events: DataFrame) -> list[str]:
     return [x for x in NEWEST_EVENT if x in events.columns]
 
 
+def one_per_order(orders: DataFrame) -> DataFrame:
+    """Replayed input may repeat an order; the row ingested last counts. All figures start from this."""
+    order = [x for x in ("data_ingestao", "data_pedido", "valor_frete", "peso_total_kg") if x in orders.columns]
+    return latest_per_key(orders, ["id_pedido"], order)
+
+
 def route_volume(orders: DataFrame) -> DataFrame:
-    return orders.groupBy(*ROUTE).agg(
+    return one_per_order(orders).groupBy(*ROUTE).agg(
         F.count("id_pedido").alias("total_pedidos"),
         c.exact_sum("peso_total_kg").alias("peso_total"),
         c.exact_sum("valor_frete").alias("valor_frete_total"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulage.functions import columns as c
-from haulage.plans import views
+from haulage.plans import gold, views
 from haulage.sources.schemas import CLOSED, DELIVERED, STATUS_NAMES
 
 CLOSED_NAMES = tuple(STATUS_NAMES[i - 1] for i in CLOSED)
@@ -35,7 +35,7 @@ def routes_by_freight(route_volume: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def delivery_rate(orders: DataFrame, status: DataFrame, days: int = 7) -> DataFrame:
-    dated = orders.select("id_pedido", F.to_date("data_pedido").alias("data"))
+    dated = gold.one_per_order(orders).select("id_pedido", F.to_date("data_pedido").alias("data"))
     recent = _last_days(dated, "data", days).join(status.select("id_pedido", "id_status"), "id_pedido", "left")
     counted = recent.agg(
         F.count(F.lit(1)).alias("total_pedidos"), F.count_if(F.col("id_status") == DELIVERED).alias("entregues")
@@ -59,7 +59,7 @@ def pending_map(mapped: DataFrame) -> DataFrame:
 
 def mean_weight_by_route(orders: DataFrame) -> DataFrame:
     by = c.route_key("cidade_origem", "cidade_destino").alias("rota")
-    return orders.groupBy(by).agg(c.exact_avg("peso_total_kg").alias("peso_medio_kg"))
+    return gold.one_per_order(orders).groupBy(by).agg(c.exact_avg("peso_total_kg").alias("peso_medio_kg"))
 
 
 def open_express(mapped: DataFrame) -> DataFrame:

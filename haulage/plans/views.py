@@ -10,6 +10,7 @@ from haulage.operators.latest import latest_per_key
 from haulage.operators.lookup import sized
 from haulage.operators.links import order_load_links
 from haulage.plans import gold
+from haulage.plans.gold import one_per_order
 from haulage.sources import tables
 from haulage.sources.schemas import DELIVERED, ON_THE_ROAD
 
@@ -58,10 +59,10 @@ def _with_status(orders: DataFrame, status: DataFrame) -> DataFrame:
 def delivery_map(orders: DataFrame, status: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per order with both coordinates and its current status."""
     centroids = city_centroids(customers)
-    named = orders
+    named = one_per_order(orders)
     if "cidade_cliente" not in orders.columns:
         who = customers.select("id_cliente", F.col("cidade").alias("cidade_cliente"))
-        named = orders.join(sized(who), "id_cliente", "left")
+        named = named.join(sized(who), "id_cliente", "left")
     placed = locate(named, centroids, "cidade_origem", "uf_origem", "lat_origem", "long_origem")
     placed = locate(placed, centroids, "cidade_destino", "uf_destino", "lat_destino", "long_destino")
     return _with_status(placed, status).select(
@@ -83,12 +84,6 @@ def delivery_map(orders: DataFrame, status: DataFrame, customers: DataFrame) ->
     )
 
 
-def one_per_order(orders: DataFrame) -> DataFrame:
-    """Replayed input may repeat an order; the row ingested last counts."""
-    order = [x for x in ("data_ingestao", "data_pedido", "valor_frete", "peso_total_kg") if x in orders.columns]
-    return latest_per_key(orders, ["id_pedido"], order)
-
-
 def kpi_row(orders: DataFrame, status: DataFrame, loads: DataFrame) -> DataFrame:
     """One row of operational figures, at order grain; active trucks are those with any load."""
     known = _with_status(one_per_order(orders), status)
@@ -116,7 +111,7 @@ def kpi_row(orders: DataFrame, status: DataFrame, loads: DataFrame) -> DataFrame
 
 
 def daily_volume(orders: DataFrame) -> DataFrame:
-    return orders.groupBy(F.to_date("data_pedido").alias("data")).agg(
+    return one_per_order(orders).groupBy(F.to_date("data_pedido").alias("data")).agg(
         F.count(F.lit(1)).alias("total_pedidos"),
         c.round_half_up(c.exact_sum("peso_total_kg"), 2).alias("peso_total"),
         c.round_half_up(c.exact_sum("valor_frete"), 2).alias("valor_total"),
