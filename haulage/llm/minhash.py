@@ -9,9 +9,13 @@ Rows of the sketch form bands; sets with an equal band are candidates. There are
 no common band with a probability of 3e-7 at most (48 bands of 8 rows for 0.85, 64 of 7 rows for 0.8).
 
 Equal sets are one class, known by its smallest id, before anything is compared, so copies never meet. In each band's bucket the
-members refer to the smallest id as their centre, if one bit of each coordinate says that they are at all alike. The documents of
-a centre meet in tasks, in cells of at most two blocks: each is compared with the centre on the full sets, and those not linked to
-it with all others of the cell, by counting common shingles. A cell sends only the links of a spanning forest.
+members refer to the smallest id as their centre, if one bit of each coordinate says that they are at all alike. Where some member
+is too far from the centre, these members and those at the edge meet again under the smallest id among them, and so on. The edge is
+as wide as the bits of two linked sets can differ, so one of them never stays behind without the other. What a few rounds leave of
+a bucket is settled by the same steps inside tasks, on the bits, in cells in which any two members meet.
+
+The documents of a centre meet in tasks, in cells of at most two blocks: each is compared with the centre on the full sets, and
+those not linked to it with all others of the cell, by counting common shingles. A cell sends only the links of a spanning forest.
 """
 
 from __future__ import annotations
@@ -32,9 +36,12 @@ from haulage.session import scratch
 MISSED = 3e-7
 #: Members of one centre that are compared at once.
 BLOCK = 512
-#: Estimated similarity to the centre below which a common band is taken for chance: far below what two members linked to one
-#: another can have to a common centre.
+#: Estimated similarity to the centre below which a member has to look for another centre in its bucket.
 ALIKE = 0.3
+#: Chance that the bits of a pair at the threshold differ in more places than `edge_for` says.
+STRAYED = 1e-9
+#: Centres that a bucket has by Spark grouping; the members that are left then meet in cells.
+ROUNDS = 3
 _EMPTY = np.iinfo(np.uint64).max
 _COLUMNS = 2048
 
@@ -51,6 +58,22 @@ def bands_for(percent: int) -> int:
     return math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** rows_for(percent)) / 8) * 8
 
 
+def edge_for(percent: int) -> int:
+    """Bits in which two sets with a similarity of `percent` differ at most: a binomial bound, the chance of more is STRAYED."""
+    width, p = bands_for(percent) * rows_for(percent), (1 - percent / 100) / 2
+    left = 0.0
+    for n in range(width, 0, -1):
+        left += math.exp(math.lgamma(width + 1) - math.lgamma(n + 1) - math.lgamma(width - n + 1) + n * math.log(p) + (width - n) * math.log1p(-p)) if p else 0.0
+        if left > STRAYED:
+            return n
+    return 0
+
+
+def far_for(percent: int) -> int:
+    """Bits in which a member and its centre may differ."""
+    return max(int((1 - ALIKE) / 2 * bands_for(percent) * rows_for(percent)), edge_for(percent))
+
+
 class Sets:
     """Distinct shingles of texts as sorted 64-bit hashes: `words` words in A-Z lower case; fewer words are one shingle."""
 
@@ -215,24 +238,117 @@ def _verified(words: int, percent: int):
     return run
 
 
+def _judged(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """(centre, doc, apart): in how many bits the two differ; a written table."""
+    both = pairs.join(bits, "doc").join(bits.select(F.col("doc").alias("centre"), F.col("bits").alias("centre_bits")), "centre")
+    apart = F.aggregate(F.zip_with("bits", "centre_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return _written(both.select("centre", "doc", apart.alias("apart")), "members")
+
+
+def _written(frame: DataFrame, label: str) -> DataFrame:
+    folder = scratch(frame.sparkSession, label)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def _centred(placed: DataFrame) -> DataFrame:
+    """(bucket, centre, doc) of the members but the smallest."""
+    buckets = placed.groupBy("bucket").agg(F.min("doc").alias("centre"), F.count("*").alias("members")).where("members > 1").drop("members")
+    return placed.join(buckets, "bucket").where("doc <> centre").select("bucket", "centre", "doc")
+
+
+def _settle(ids: np.ndarray, bits: np.ndarray, far: int, edge: int) -> list[tuple[int, int]]:
+    """(centre, doc) so that any two members whose bits differ in `edge` places at most have a centre in common, or one is the other's.
+
+    A member that nobody is so close to is linked with nobody, and leaves without a pair.
+    """
+    order = np.argsort(ids, kind="stable")
+    pairs: list[tuple[int, int]] = []
+    while len(order) > 1:
+        centre, order = order[0], order[1:]
+        apart = np.bitwise_count(bits[order] ^ bits[centre]).sum(axis=1, dtype=np.int64)
+        if apart.min() > edge:
+            continue
+        near = apart <= far
+        pairs += [(int(ids[centre]), int(d)) for d in ids[order[near]] if d != ids[centre]]
+        if near.all():
+            break
+        order = order[apart > far - edge]
+    return pairs
+
+
+def _rest(placed: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """(centre, doc) for what the rounds left of the buckets, by cells of at most two blocks of bits."""
+    schema = pa.schema([("centre", pa.int64()), ("doc", pa.int64())])
+    far, edge = far_for(percent), edge_for(percent)
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, own = None, [], []
+
+        def done() -> pa.RecordBatch:
+            pairs = _settle(np.array(ids, np.int64), np.array(own, np.int64).view(np.uint64), far, edge)
+            return batches.rows(schema, centre=[c for c, _ in pairs], doc=[d for _, d in pairs])
+
+        for batch in incoming:
+            for bucket, cell, doc, marks in zip(*(batch.column(c).to_pylist() for c in ("bucket", "cell", "doc", "bits"))):
+                if (bucket, cell) != now:
+                    if now is not None:
+                        yield done()
+                    now, ids, own = (bucket, cell), [], []
+                ids.append(doc)
+                own.append(marks)
+        if now is not None:
+            yield done()
+
+    full = _cells(placed, "bucket").join(bits, "doc").select("bucket", "cell", "doc", "bits")
+    parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    arranged = full.repartition(parts, "bucket", "cell").sortWithinPartitions("bucket", "cell")
+    return arranged.mapInArrow(run, "centre long, doc long")
+
+
+def _cells(members: DataFrame, key: str) -> DataFrame:
+    """(key, doc, cell): members of a key dealt to blocks by hash, and each block to its cells with every other block."""
+    blocks = members.groupBy(key).agg(F.count("*").alias("n")).select(key, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = members.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        key, "doc", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("cell")
+    )
+
+
+def candidates(known: DataFrame, percent: int) -> DataFrame:
+    """(centre, doc): groups in which all pairs at the threshold meet that have a band in common."""
+    far, edge = far_for(percent), edge_for(percent)
+    bits = known.select("doc", "bits")
+    placed = known.select("doc", F.explode("bands").alias("bucket"))
+    judged = _judged(_centred(placed).select("centre", "doc").distinct(), bits)
+    found = judged.where(F.col("apart") <= far).select("centre", "doc")
+    for turn in range(ROUNDS):
+        if not judged.where(F.col("apart") > far).limit(1).count():
+            break
+        going = judged.where(F.col("apart") > far - edge).groupBy("centre", "doc").agg(F.max(F.col("apart") > far).alias("away"))
+        if turn:
+            back = _centred(placed).join(going, ["centre", "doc"]).select("bucket", "doc", "away")
+        else:  # the bands that both have, among them those whose centre the one is: few rows, while the buckets are many
+            bands = known.select("doc", "bands")
+            both = going.join(bands, "doc").join(bands.select(F.col("doc").alias("centre"), F.col("bands").alias("others")), "centre")
+            back = both.select(F.explode(F.array_intersect("bands", "others")).alias("bucket"), "doc", "away")
+        spread = back.groupBy("bucket", "doc").agg(F.max("away").alias("away"))
+        # members that are all near to one centre have met there
+        goes_on = spread.groupBy("bucket").agg(F.count("*").alias("members"), F.max("away").alias("any")).where("members > 1 AND any")
+        placed = _written(spread.select("bucket", "doc").join(goes_on.select("bucket"), "bucket"), "left")
+        if turn == ROUNDS - 1:
+            more = _rest(placed, bits, percent)
+        else:
+            judged = _judged(_centred(placed).select("centre", "doc").distinct(), bits)
+            more = judged.where(F.col("apart") <= far).select("centre", "doc")
+        found = _written(found.unionByName(more).distinct(), "found")
+    return found
+
+
 def links(docs: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links that connect the classes of `known` sketches (one row per class, doc being its id) as all true links would."""
     spark = docs.sparkSession
-    placed = known.select("doc", "bits", F.explode("bands").alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.min("doc").alias("centre"), F.count("*").alias("members")).where("members > 1").drop("members")
-    pairs = placed.select("bucket", "doc").join(buckets, "bucket").where("doc <> centre").select("centre", "doc").distinct()
-    bits = known.select(F.col("doc").alias("centre"), F.col("bits").alias("centre_bits"))
-    width = bands_for(percent) * rows_for(percent)
-    both = pairs.join(known.select("doc", "bits"), "doc").join(bits, "centre")
-    apart = F.aggregate(F.zip_with("bits", "centre_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    folder = scratch(spark, "members")
-    both.where(F.lit(1.0) - 2.0 * apart / width >= ALIKE).select("centre", "doc").write.parquet(folder)
-    members = spark.read.schema("centre long, doc long").parquet(folder)
-    blocks = members.groupBy("centre").agg(F.count("*").alias("n")).select("centre", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "centre").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "centre", "doc", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("cell")
-    )
+    cells = _cells(candidates(known, percent), "centre")
     central = cells.select("centre", "cell").distinct().select("centre", F.col("centre").alias("doc"), "cell")
     texts = spans.keyed(docs).select("doc", "text")
     # always by shuffle: what is compared grows with the texts, so it would outgrow a broadcast

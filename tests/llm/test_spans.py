@@ -167,6 +167,37 @@ def test_groups_are_those_of_all_pairs(spark, small, texts, words, percent):
     assert sorted(tuple(r) for r in found.collect()) == _exact(rows, words, percent)
 
 
+def test_groups_where_the_smallest_of_each_bucket_is_a_stranger(spark, monkeypatch):
+    """Bands of one row: strangers with smaller ids share nearly every bucket of two near copies, a dozen of them each."""
+    monkeypatch.setattr(minhash, "rows_for", lambda percent: 1)
+    monkeypatch.setattr(minhash, "bands_for", lambda percent: 384)
+    rng, rows = random.Random(4), []
+    for pair in range(3):
+        stock = [f"w{pair}x{k}" for k in range(100)]
+        rows += [(1000 * pair + i, " ".join(rng.sample(stock, 15) + [f"own{pair}x{i}x{k}" for k in range(15)])) for i in range(150)]
+        rows += [(1000 * pair + 900 + i, " ".join(stock[5 * i :] + [f"new{pair}x{i}x{k}" for k in range(5 * i)])) for i in range(2)]
+    found = minhash.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 1, 85)
+    want = _exact(rows, 1, 85)
+    assert sum(not kept for *_, kept in want) == 3
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
+def test_cells_settle_all_near_pairs():
+    rng = np.random.default_rng(2)
+    kinds = rng.integers(0, 2**64, (5, 6), dtype=np.uint64)
+    bits = np.concatenate([kinds[rng.integers(0, 5, 80)], rng.integers(0, 2**64, (40, 6), dtype=np.uint64)])
+    for row in bits[:80]:  # up to 120 bits of 384 turned
+        for at in rng.integers(0, 384, rng.integers(0, 120)):
+            row[at // 64] ^= np.uint64(1 << int(at % 64))
+    ids = rng.permutation(120)
+    groups: dict = {}
+    for centre, doc in minhash._settle(ids, bits, 134, 65):
+        groups.setdefault(centre, {centre}).add(doc)
+    apart = np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2)
+    for i, j in zip(*np.nonzero(np.triu(apart <= 65, 1))):
+        assert any({ids[i], ids[j]} <= g for g in groups.values())
+
+
 def test_sketch_coordinates_agree_as_often_as_sets_are_alike():
     rng = np.random.default_rng(1)
     shared, own = rng.integers(0, 2**63, 60, dtype=np.uint64), rng.integers(0, 2**63, 40, dtype=np.uint64)
