@@ -28,7 +28,7 @@ from haulage.session import scratch
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
-#: Learning rows: about this many, chosen by a hash of their id. Scoring always covers all rows.
+#: Learning rows per language, about: chosen by a hash of id and text (the documented bound of this fit). Scoring covers all rows.
 LEARNED_DOCUMENTS = 4_000
 ROUNDS = 3
 #: More languages than this would make the model table too large to hand to every task.
@@ -228,13 +228,22 @@ def expected(word: str, probs: dict[str, float], single: list[float], longest: i
 def learn(rows: DataFrame, path: str, rounds: int = ROUNDS, most: int = LEARNED_DOCUMENTS) -> Model:
     """Fit piece probabilities on (doc_id, text, lang); rows with a NULL or empty text or a NULL lang are not used.
 
-    About `most` rows are used, chosen by a hash of their id (the documented bound of this fit); all, if there are fewer. Their
-    words are counted per language by Spark and each round of expectation maximisation is a job over the counts.
+    Of each language about `most` rows are used, chosen by a hash of id and text (the documented bound of this fit); all, if there
+    are fewer, so that a rare language is learned however large the table is. The prior is each language's share of all usable
+    rows. Words are counted per language by Spark and each round of expectation maximisation is a job over the counts.
     """
     spark = rows.sparkSession
     usable = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    share = min(1.0, most / max(1, usable.count()))
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_003)) < share * 1_000_003)
+    sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    draw = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1_000_003))
+    large = {lang: int(most / n * 1_000_003) for lang, n in sizes.items() if n > most}
+    if large:
+        limits = F.create_map(*(F.lit(x) for pair in large.items() for x in pair))
+        chosen = usable.where(draw < F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(1_000_003)))
+    else:
+        chosen = usable
     kept = scratch(spark, "language-words")
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
@@ -259,9 +268,7 @@ def learn(rows: DataFrame, path: str, rounds: int = ROUNDS, most: int = LEARNED_
     counted = chosen.mapInArrow(count, "lang string, word string, n long, docs long")
     counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).write.parquet(kept)
     table = spark.read.schema("lang string, word string, n long, docs long").parquet(kept)
-    heads = {r.lang: r.docs for r in table.where("word IS NULL").select("lang", "docs").limit(MOST_LANGUAGES + 1).collect()}
-    if len(heads) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    heads = {r.lang: r.docs for r in table.where("word IS NULL").select("lang", "docs").collect()}
     languages = sorted(heads)
     ids = vocabulary(path)
     if not languages:
@@ -273,7 +280,9 @@ def learn(rows: DataFrame, path: str, rounds: int = ROUNDS, most: int = LEARNED_
     counts = table.where("word IS NOT NULL").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     for _ in range(rounds):
         probs, single = _round(counts, languages, pieces, probs, single, longest)
-    prior = np.log(np.array([heads[x] for x in languages], float) / sum(heads.values()))
+    # a language's learning rows stand for all its rows
+    weight = np.array([heads[x] * max(1.0, sizes[x] / most) for x in languages])
+    prior = np.log(weight / weight.sum())
     return Model(languages, pieces, probs, single, prior, longest)
 
 

@@ -59,6 +59,15 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def test_a_rare_language_is_learned_among_many_documents(spark):
+    common = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the house of number "), F.col("id"), F.lit(" is old")).alias("text"), F.lit("en").alias("lang"))
+    few = spark.createDataFrame([(50_000 + i, f"żółty dom numer {i} jest stary", "pl") for i in range(4)], "doc_id long, text string, lang string")
+    model = language.learn(common.unionByName(few), PIECES, rounds=1, most=100)
+    assert model.languages == ["en", "pl"]
+    assert np.allclose(np.exp(model.prior), [20_000 / 20_004, 4 / 20_004], rtol=0.5)
+    assert {r.lang_pred for r in language.predict(few, model).collect()} == {"pl"}
+
+
 def test_languages_of_odd_rows(spark, odd, nothing):
     found = language.identified(spark, odd, PIECES).collect()
     assert len(found) == len(odd_rows())
