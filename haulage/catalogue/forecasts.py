@@ -11,20 +11,23 @@ from haulage.sources import star_schema as star
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    """Train once on a written copy of the features; the forest reads its input many times."""
+    """Model, all weeks and test weeks. Trained once on a written copy of the features; the forest reads its input many times."""
     path = scratch(spark, "features")
     demand.weekly_features(star.silver_orders(spark, sf_dir)).write.parquet(path)
-    train, test = demand.split(spark.read.parquet(path))
-    model = demand.train(train)
-    return model, demand.predict(model, test)
+    weeks = spark.read.parquet(path)
+    train, test = demand.split(weeks)
+    return demand.train(train), weeks, test
 
 
 def demand_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(demand.forecast_table(_fitted(spark, sf_dir)[1]))
+    """Every route-week and the week after the newest one of each route."""
+    model, weeks, _ = _fitted(spark, sf_dir)
+    return plain(demand.forecast_table(demand.forecast(model, weeks)))
 
 
 def forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(demand.score_frame(_fitted(spark, sf_dir)[1]))
+    model, _, test = _fitted(spark, sf_dir)
+    return plain(demand.score_frame(demand.predict(model, test)))
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,36 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).drop("_x")
 
 
+def following(features: DataFrame) -> DataFrame:
+    """The week after the newest one of each route. Its lag is the newest week's count, and the averages are carried on."""
+    newest = features.groupBy("rota").agg(F.max_by(F.struct(*features.columns), "inicio_semana").alias("row")).select("row.*")
+    start = F.date_add("inicio_semana", 7)
+    return newest.withColumns(
+        {
+            "total_pedidos_semana_anterior": F.col(TARGET),
+            TARGET: F.lit(None).cast("bigint"),
+            "inicio_semana": start,
+            "semana": F.weekofyear(start).cast("bigint"),
+            "ano": F.extract(F.lit("YEAROFWEEK"), start).cast("bigint"),
+            "mes": F.month(start).cast("bigint"),
+        }
+    ).select(*features.columns)
+
+
+def forecast(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """Predictions for every route-week of `weekly_features` and for the week after each route's newest one.
+
+    A missing lag counts as 0, since the route had no order in the week before; a missing average goes into the model as 0 too,
+    and stays NULL in the result. The following week has neither a count nor averages yet: NULL.
+    """
+    given = {name: F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in FEATURES}
+    known = features.withColumn("_peso", F.col("peso_medio"))
+    ahead = following(features).withColumn("_peso", F.lit(None).cast(features.schema["peso_medio"].dataType))
+    made = predict(model, known.unionByName(ahead).withColumns(given))
+    whole = {name: F.col(name).cast("bigint") for name in ("ano", "semana", "mes")}
+    return made.withColumns(whole | {"peso_medio": F.col("_peso")}).drop("_peso")
+
+
 def scores(predicted: DataFrame) -> dict[str, float]:
     """MAE, RMSE and R2 of predictions."""
     judge = RegressionEvaluator(labelCol=TARGET, predictionCol=PREDICTION)

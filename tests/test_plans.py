@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from haulage import catalogue
 from haulage.operators import checks
 from haulage.plans import demand, dispatch, gold, questions, views
 from haulage.sources import schemas, star_schema
@@ -206,6 +207,24 @@ def test_model_round_trip_and_runs(spark, tmp_path, rows):
     assert rows(demand.best_run(spark.read.parquet(runs)), "run_id") == [("r1",)]
 
 
+def test_forecast_covers_every_route_week_and_the_next(spark):
+    weeks = demand.weekly_features(weekly_orders(spark)).withColumn("valor_medio", F.lit(None).cast("double"))
+    model = demand.train(weeks.fillna(0), trees=2, depth=2)
+    got = demand.forecast_table(demand.forecast(model, weeks)).collect()
+    routes = weeks.select("rota").distinct().count()
+    assert len(got) == weeks.count() + routes and all(r.previsao is not None for r in got)
+    assert sorted(r.semana for r in got if r.total_pedidos is None) == sorted(
+        r.s for r in weeks.groupBy("rota").agg(F.date_add(F.max("inicio_semana"), 7).alias("d")).selectExpr(
+            "concat(extract(YEAROFWEEK FROM d), '_W', lpad(weekofyear(d), 2, '0')) s").collect()
+    )
+
+
+def test_demand_forecast_covers_all_route_weeks(spark):
+    weeks = demand.weekly_features(star_schema.silver_orders(spark, "/root/testdata/sf0.001"))
+    got = catalogue.queries()["demand_forecast"](spark, "/root/testdata/sf0.001")
+    assert got.count() == weeks.count() + weeks.select("rota").distinct().count()
+
+
 def test_split_by_time_keeps_newest_weeks_for_the_test(spark):
     rows = [("r", 2025, w, 1, 1) for w in range(1, 11)]
     df = spark.createDataFrame(rows, "rota string, ano bigint, semana bigint, mes bigint, total_pedidos_semana_anterior bigint")
