@@ -6,7 +6,8 @@ of two places is found by binary search over span lengths.
 
 A fingerprint holds the length, the hash of the whole text and a sketch of its spans: the spans of SPAN code points are dealt to
 SLOTS slots by their hash, and each slot keeps 16 bits of its smallest; empty slots borrow from the next full one. The share of equal
-slots estimates how many spans two texts have in common. Texts shorter than a span are one span.
+slots estimates how many spans two texts have in common. Texts shorter than a span are one span. Short texts, and those up to twice
+their length, have a second sketch of shorter spans, on which a short text is compared with any of them.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from haulage.llm import batches
 PRIMES = (2_147_483_629, 2_147_483_587)  # the largest two below 2**31 - 1: products fit in 64 bits
 BASES = (1_000_003_571, 1_700_001_089)
 SPAN, SLOTS = 12, 64
-#: Texts below this length have spans of SHORT_SPAN code points, else an edit would touch each of their few spans.
+#: Texts below this length are compared on spans of SHORT_SPAN code points, else an edit would touch each of their few spans. Those
+#: below twice this length have both sketches.
 SHORT, SHORT_SPAN = 48, 3
 _INVERSES = tuple(pow(base, -1, prime) for base, prime in zip(BASES, PRIMES))
 _TABLES: list[np.ndarray] = [np.ones(1, np.uint64) for _ in range(4)]
@@ -94,14 +96,8 @@ def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def fingerprint(codes: np.ndarray) -> str:
-    """`length:whole:slots`, all in hex. Equal texts have equal fingerprints; an empty text has no slots."""
-    n = len(codes)
-    if not n:
-        return "0::"
-    prefixes = Prefixes(codes)
-    whole = prefixes.span(0, n)
-    found = batches.mix(prefixes.spans(min(SHORT_SPAN if n < SHORT else SPAN, n)))
+def _sketch(prefixes: Prefixes, length: int) -> str:
+    found = batches.mix(prefixes.spans(min(length, prefixes.n)))
     slot = (found >> np.uint64(58)).astype(np.int64)
     least = np.full(SLOTS, np.iinfo(np.uint64).max, np.uint64)
     np.minimum.at(least, slot, found)
@@ -110,17 +106,31 @@ def fingerprint(codes: np.ndarray) -> str:
     where = np.flatnonzero(full)
     source = where[np.searchsorted(where, np.arange(SLOTS)) % len(where)]
     short = (batches.mix(least[source]) & np.uint64(0xFFFF)).astype(np.uint16)
-    return f"{n:x}:{whole[0]:08x}{whole[1]:08x}:{short.astype('>u2').tobytes().hex()}"
+    return short.astype(">u2").tobytes().hex()
+
+
+def fingerprint(codes: np.ndarray) -> str:
+    """`length:whole:slots`, all in hex, and for texts below 2 * SHORT `:slots` of the shorter spans. Equal texts have equal
+    fingerprints; an empty text has no slots."""
+    n = len(codes)
+    if not n:
+        return "0::"
+    prefixes = Prefixes(codes)
+    whole = prefixes.span(0, n)
+    more = ":" + _sketch(prefixes, SHORT_SPAN) if n < 2 * SHORT else ""
+    return f"{n:x}:{whole[0]:08x}{whole[1]:08x}:{_sketch(prefixes, SPAN)}{more}"
 
 
 def likeness(a: str, b: str) -> float:
-    """0 to 1: 1 for fingerprints of equal texts, else below; the share of equal slots. An empty text is like empty ones only, and a
-    text with short spans is like such texts only."""
+    """0 to 1: 1 for fingerprints of equal texts, else below; the share of equal slots. An empty text is like empty ones only. With
+    a text below SHORT the slots of the shorter spans are compared, if both have them, and those of the longer ones otherwise."""
     if a == b:
         return 1.0
-    (m, _, x), (n, _, y) = a.split(":"), b.split(":")
-    if not x or not y or (int(m, 16) < SHORT) != (int(n, 16) < SHORT):
+    (m, _, x, *p), (n, _, y, *q) = a.split(":"), b.split(":")
+    if not x or not y:
         return 0.0
+    if p and q and min(int(m, 16), int(n, 16)) < SHORT:
+        x, y = p[0], q[0]
     left, right = np.frombuffer(bytes.fromhex(x), ">u2"), np.frombuffer(bytes.fromhex(y), ">u2")
     return min(float((left == right).mean()), 1.0 - 1.0 / (4 * SLOTS))
 

@@ -241,6 +241,19 @@ def test_fingerprints(spark, small, texts):
     assert [(r.doc_id, r.near_next) for r in alone] == [(3, 1.0)]
 
 
+def test_near_copies_on_either_side_of_the_short_length_are_alike(spark):
+    text = prose(8, 60)
+    of = lambda n: prints.fingerprint(prints.points(text[:n]))
+    for m, n in ((47, 48), (40, 60), (47, 71)):
+        assert prints.likeness(of(m), of(n)) == prints.likeness(of(n), of(m)) > 0.4
+    assert prints.likeness(of(47), of(110)) > 0.1
+    other = prints.fingerprint(prints.points(text[200:260]))
+    assert prints.likeness(of(40), other) < 0.3
+    rows = [(2, text[:60]), (1, "")]  # the next document is empty: 40 of 60 code points stay
+    found = prints.neighbours(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert next(r.near_edited for r in found if r.doc_id == 2) > 0.4
+
+
 def test_hot_anchors_are_spread(spark, monkeypatch):
     """One passage in every document, each time between other words: more contexts than a slice groups."""
     passage = prose(50, 55)
