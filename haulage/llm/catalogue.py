@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
-from haulage.llm import anchors, bpe, language, minhash, mixture, neighbours, prints, quality, records, repeats
+from haulage.llm import anchors, bpe, language, minhash, mixture, neighbours, packing, periods, prints, quality, records, repeats, resampling
 from haulage.llm.statements import ORACLE
 from haulage.session import scratch
 
@@ -60,6 +61,20 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.assigned(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.found(periods.doubled(_documents(spark, sf_dir))))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resampled(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(_documents(spark, sf_dir), WORD_BPE)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_permutations": op2_permutations,
@@ -71,6 +86,9 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_mixture": op10_mixture,
+    "op11_periods": op11_periods,
+    "op12_resampling": op12_resampling,
+    "op13_packing": op13_packing,
 }
 
 __all__ = ["ORACLE", "QUERIES"]

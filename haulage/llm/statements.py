@@ -2,6 +2,17 @@
 
 from __future__ import annotations
 
+#: Checksum of each byte value (the rule of CRC-32, its polynomial 3988292384).
+_TABLE = r"""
+bit AS (SELECT b, b::BIGINT AS c, 0 AS k FROM range(256) AS r(b)
+    UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+tab AS (SELECT b, c FROM bit WHERE k = 8),
+"""
+#: far(d, b): what byte b adds to a checksum if d bytes follow it; b = -1 stands for the start value before d bytes. Needs long(n).
+_FAR = r"""far AS (SELECT 0 AS d, b, c FROM tab UNION ALL SELECT 0, -1, 4294967295
+    UNION ALL SELECT d + 1, far.b, xor(far.c >> 8, tab.c) FROM far JOIN tab ON tab.b = far.c & 255 WHERE d < (SELECT max(n) FROM long)),
+"""
+
 ORACLE: dict[str, str] = {
     "op10_mixture": r"""
 WITH d AS (
@@ -85,5 +96,88 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e
 k AS (SELECT a, min(b) AS component FROM r GROUP BY a)
 SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component AS component_id, doc_id = component AS kept
 FROM d JOIN k ON k.a = doc_id LEFT JOIN n USING (doc_id)
+""",
+    "op11_periods": r"""
+WITH RECURSIVE"""
+    + _TABLE
+    + r"""
+long AS (SELECT 20 AS n),
+"""
+    + _FAR
+    + r"""
+num AS (SELECT doc_id, doc_id::VARCHAR AS s, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+crc AS (
+    SELECT doc_id, xor(bit_xor(far.c), 4294967295) AS h
+    FROM (SELECT doc_id, len(s) - 1 - i AS d, ascii(substr(s, i + 1, 1)) AS b FROM num, unnest(range(0, len(s))) AS t(i)
+        UNION ALL SELECT doc_id, len(s), -1 FROM num) AS part
+    JOIN far USING (d, b) GROUP BY doc_id
+),
+plan AS (SELECT doc_id, w, len(w) AS n, h, (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS parts FROM num JOIN crc USING (doc_id)),
+d AS (
+    SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0
+        THEN w[1:a] || [w[a + (i - a) % (1 + (n - a) // parts) + 1] FOR i IN range(a, n)] ELSE w END AS w
+    FROM plan
+),
+gram AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 5], ' ')) AS g FROM d, unnest(range(1, len(w) - 4)) AS t(i)),
+pair AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+step AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pair),
+stretch AS (SELECT doc_id, q, min(i) - 1 AS s, count(*) + 5 + q AS n FROM step GROUP BY doc_id, q, island HAVING count(*) + 5 >= q AND count(*) + 5 + q >= 12),
+run AS (
+    SELECT * FROM stretch a WHERE NOT EXISTS (
+        FROM stretch b WHERE a.doc_id = b.doc_id AND b.q < a.q AND b.s <= a.s AND b.s + b.n >= a.s + a.n)
+),
+gone AS (SELECT DISTINCT doc_id, p FROM run, unnest(range(s + q, s + n)) AS t(p)),
+word AS (SELECT doc_id, p - 1 AS p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (
+    SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.p) FILTER (WHERE gone.p IS NULL) AS rest FROM word LEFT JOIN gone USING (doc_id, p) GROUP BY word.doc_id
+),
+top AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+        first(struct_pack(s, n, q) ORDER BY n DESC, s, q) AS best
+    FROM run GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.n::BIGINT AS length, best.q::BIGINT AS period,
+    (1000 * best.n // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM d LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)
+""",
+    "op12_resampling": r"""
+WITH RECURSIVE"""
+    + _TABLE
+    + r"""
+txt AS (
+    SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark)
+),
+feat AS (
+    SELECT kind, id, array_to_string(w[i:i + k], ' ') AS x FROM txt, unnest(range(1, len(w) + 1)) AS t(i), range(3) AS r(k) WHERE i + k <= len(w)
+),
+one AS (SELECT x, row_number() OVER () AS f, octet_length(encode(x)) AS n, hex(encode(x)) AS h FROM (SELECT DISTINCT x FROM feat)),
+long AS (SELECT max(n) AS n FROM one),
+"""
+    + _FAR
+    + r"""
+crc AS (
+    SELECT f, bit_xor(far.c) AS c
+    FROM (SELECT f, n - 1 - i AS d, ('0x' || substr(h, (2 * i + 1)::BIGINT, 2))::BIGINT AS b FROM one, unnest(range(0, n)) AS t(i)
+        UNION ALL SELECT f, n, -1 FROM one) AS part
+    JOIN far USING (d, b) GROUP BY f
+),
+bucket AS (SELECT x, xor(c, 4294967295) % 10000 AS k FROM crc JOIN one USING (f)),
+hit AS (SELECT kind, id, k, count(*)::DOUBLE AS n FROM feat JOIN bucket USING (x) GROUP BY ALL),
+total AS (SELECT coalesce(sum(n) FILTER (WHERE kind = 0), 0) AS s, coalesce(sum(n) FILTER (WHERE kind = 1), 0) AS t FROM hit),
+per AS (SELECT k, coalesce(sum(n) FILTER (WHERE kind = 0), 0) AS s, coalesce(sum(n) FILTER (WHERE kind = 1), 0) AS t FROM hit GROUP BY k),
+gain AS (SELECT k, floor(1000 * ln((per.t + 1) * (total.s + 10000) / ((per.s + 1) * (total.t + 10000)))) AS g FROM per, total),
+doc AS (SELECT id, sum(n)::BIGINT AS n, sum(n * g)::BIGINT AS weight FROM hit JOIN gain USING (k) WHERE kind = 0 GROUP BY id),
+scored AS (
+    SELECT id AS doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM txt LEFT JOIN doc USING (id) WHERE kind = 0
+),
+best AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE words >= 20
+    QUALIFY rank <= 5 * count(*) OVER () // 100
+)
+SELECT doc_id, n_features, weight, score, rank FROM scored LEFT JOIN best USING (doc_id)
 """,
 }
