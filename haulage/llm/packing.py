@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,10 @@ from haulage.llm import batches, vocabulary
 from haulage.session import scratch
 
 SIZE, OPEN, END_ID = 4096, 32, 2
-#: Words a worker remembers before it starts its memory anew. It affects time only.
-WORDS_KEPT = 500_000
+#: Stretches and words a worker remembers before it starts its memory anew. It affects time only.
+ENTRIES_KEPT = 800_000
+#: Text bytes encoded at once: the more, the more often a stretch occurs among them.
+SLICE = 8 << 20
 #: Bytes of ids in one batch of a task's output.
 BATCH = 4 << 20
 #: Sequence ids of merged tails begin here; those of a task are its number times 2^32 and more.
@@ -40,9 +43,11 @@ _PIECE = pa.schema(
 
 
 class WordIds:
-    """The tokenizers library for files that split texts into words and end them, with a memory of words.
+    """The tokenizers library for files that split texts into words and end them, with a memory.
 
-    A word's ids don't depend on what stands around it. Texts with unusual characters go through the library whole.
+    A word's ids don't depend on what stands around it, and no word reaches over white space. So ids are remembered for stretches
+    without white space, put together from those of their words, which the library encodes many at a time. Texts with unusual
+    characters or special tokens go through the library whole.
     """
 
     def __init__(self, path: str):
@@ -56,38 +61,73 @@ class WordIds:
         self.library.no_padding()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.specials = vocabulary.specials(spec)
-        self.cut = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
+        vocab, specials = spec["model"]["vocab"], vocabulary.specials(spec)
         #: Only files of this kind take the short path.
         self.usual = spec["model"].get("end_of_word_suffix") == "</w>" and (spec.get("pre_tokenizer") or {}).get("type") == "Sequence"
-        self.known: dict[str, bytes] = {}
-
-    def _split(self, text: str) -> list[str] | None:
-        if not self.usual or not vocabulary.plain(text):
-            return None
-        if self.cut is None or "<|" not in text:
-            return vocabulary.WORD_SPLIT.findall(text.lower())
-        parts = self.cut.split(text)
-        return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else vocabulary.WORD_SPLIT.findall(part.lower()))]
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def of(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [self._split(text or "") for text in texts]
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        new = list(set().union(*(s for s in split if s)).difference(self.known))
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            for word, made in zip(some, self.library.encode_batch(some, add_special_tokens=False)):
-                self.known[word] = self._bytes(made.ids)
-        get = self.known.__getitem__
-        return [
-            self._bytes(self.library.encode(text, add_special_tokens=False).ids) if words is None else b"".join(map(get, words))
-            for text, words in zip(texts, split)
-        ]
+        self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
+        #: Whether a token ends a word; of a word's tokens just the last one does.
+        self.final = np.zeros(max([*vocab.values(), *specials.values()], default=0) + 1, bool)
+        self.final[[n for text, n in vocab.items() if text.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        #: The number of each stretch or word, whose ids are flat[first[number] : first[number + 1]].
+        self.number: dict[str, int] = {"": 0}
+        self.flat, self.first = np.zeros(0, "<u4"), np.zeros(2, np.int64)
+
+    def _short(self, text: str) -> bool:
+        return self.usual and vocabulary.plain(text) and not ("<|" in text and self.special and self.special.search(text))
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these entries one after another, and how many each has."""
+        sizes = self.first[numbers + 1] - self.first[numbers]
+        ends = np.cumsum(sizes)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[numbers] - ends + sizes, sizes)], sizes
+
+    def _add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.number.update(zip(names, range(len(self.number), len(self.number) + len(names))))
+        self.flat = np.concatenate([self.flat, ids])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+
+    def _learn(self, stretches: list[str]) -> None:
+        found = list(map(vocabulary.WORD_SPLIT.findall, stretches))
+        words = list(set().union(*found).difference(self.number))
+        for i in range(0, len(words), 20_000):
+            some = words[i : i + 20_000]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("words did not keep apart")
+            self._add(some, ids, np.diff(ends, prepend=0))
+        several = [(s, own) for s, own in zip(stretches, found) if len(own) > 1]
+        if several:
+            numbers = np.fromiter((self.number[w] for _, own in several for w in own), np.int64)
+            ids, sizes = self._gathered(numbers)
+            begins = np.cumsum([0, *(len(own) for _, own in several)])[:-1]
+            self._add([s for s, _ in several], ids, np.add.reduceat(sizes, begins))
+
+    def of(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. NULL is like empty."""
+        whole = [text or "" for text in texts.to_pylist()]
+        short = np.fromiter(map(self._short, whole), bool, len(whole))
+        made: list[bytes] = [b""] * len(whole)
+        for row in np.flatnonzero(~short).tolist():
+            made[row] = np.array(self.library.encode(whole[row], add_special_tokens=False).ids, "<u4").tobytes()
+        split = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "").filter(pa.array(short))))
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if len(self.number) > ENTRIES_KEPT:
+            self._forget()
+        new = [s for s in names if s not in self.number]
+        if new:
+            self._learn(new)
+        number = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        ids, sizes = self._gathered(number[coded.indices.to_numpy()])
+        starts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
+        data = ids.tobytes()
+        for row, start, end in zip(np.flatnonzero(short).tolist(), starts.tolist(), starts[1:].tolist()):
+            made[row] = data[start:end]
+        return made
 
 
 @lru_cache(maxsize=2)
@@ -173,8 +213,8 @@ def _packed(tokenizer: str, size: int, most_open: int, end_id: int):
             return made
 
         packer = Packer(size, most_open, emit)
-        for piece in batches.slices(parts):
-            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.of(batches.strings(piece))):
+        for piece in batches.slices(parts, most=SLICE):
+            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.of(piece.column("text"))):
                 packer.add(doc_id, ids + last)
                 if held >= BATCH:
                     yield batch()

@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 
 #: Characters whose class (letter, digit, white space, other) and lower case are the same in every Unicode version.
-_PLAIN = "\t-\r -~À-ÖØ-įı-ſ–—‘’“”…€"
-LETTER = "A-Za-zÀ-ÖØ-įı-ſ"
+_PLAIN = "\t-\r -~À-ÖØ-öø-įı-ſ–—‘’“”…€"
+LETTER = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 ODD = re.compile(f"[^{_PLAIN}]")
 
 # The split patterns of the two tokenizers, over plain characters.

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -40,7 +41,7 @@ def test_any_text_is_encoded_as_by_the_library(text):
     assert decoded == library.decode(ids, skip_special_tokens=False) == encoder.decode(ids)
 
 
-@given(st.text(alphabet="abcdeéß 's!?12\n<|>endoftx", max_size=80))
+@given(st.text(alphabet="abcdeéß÷×µªº 's!?12\n<|>endoftx", max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_byte_level_ids_are_those_of_the_library(text):
     encoder = records.text_encoder(BYTE)
@@ -60,18 +61,30 @@ def test_digests_of_odd_rows(odd, word):
     assert bpe.encoded(odd, WORD).count() == len(odd_rows())
 
 
+def _spark_hash(text: str) -> int:
+    """xxhash64 of one text column: seed 42, signed."""
+    made = xxhash.xxh64_intdigest(text.encode(), 42)
+    return made - (1 << 64) if made >> 63 else made
+
+
 def _expected(rows, byte):
     start, out = 0, []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, _spark_hash(r[1] or ""))):
         ids = [*byte.encode(text or "", add_special_tokens=False).ids, 0]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     return out
 
 
-def test_records_come_back(spark, odd, byte):
+@pytest.mark.parametrize("parts", [1, 2, 3, 4, 5, 7, 12, 40])
+def test_records_come_back(spark, odd, byte, parts):
     folder = scratch(spark, "t")
-    files = records.write(odd, folder, BYTE).collect()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        files = records.write(odd, folder, BYTE).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     found = records.read(spark, folder).collect()
     want = _expected([r[:2] for r in odd_rows()], byte)
     assert sorted([(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in found], key=lambda r: r[1]) == want
