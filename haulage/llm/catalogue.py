@@ -58,7 +58,8 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture.assigned(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixture.assigned(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "position")
+    return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def op11_periods(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,12 +170,12 @@ def write(
     """Encode each whole text, append `end_id`, and write records in ascending id order below `folder`. Returns the manifest.
 
     Part `p` holds smaller ids than part `p + 1`; in a part the pieces follow each other. NULL texts are like empty ones, NULL
-    ids come first, repeated rows give a record each (equal ids in order of their texts), other columns of `docs` are not
+    ids come first, repeated rows give a record each (equal ids in the order of a hash of their texts), other columns of `docs` are not
     looked at. An empty table gives no record.
     """
     spark = docs.sparkSession
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = picked.repartitionByRange(_parts(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    ordered = picked.repartitionByRange(_parts(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -24,7 +24,10 @@ s AS (
     SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source COLLATE "BINARY" NULLS LAST) AS n
     FROM d GROUP BY source
 ),
-w AS (SELECT *, CASE n % 3 WHEN 1 THEN 3.0::DOUBLE WHEN 2 THEN 1.0 ELSE 2.0 END AS weight, 2 * source_size AS most FROM s),
+w AS (
+    SELECT *, (w0 + w1) / 2 AS weight, 2 * source_size AS most
+    FROM (SELECT *, CASE n % 3 WHEN 1 THEN 4.0::DOUBLE ELSE 1.0 END AS w0, CASE n % 3 WHEN 1 THEN 2.0::DOUBLE WHEN 2 THEN 1.0 ELSE 3.0 END AS w1 FROM s)
+),
 l AS (
     SELECT *, ((sum(source_size) OVER ()) * 3 / 2.0::DOUBLE
         - coalesce(sum(most) OVER (ORDER BY most / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
@@ -32,19 +35,23 @@ l AS (
     FROM w
 ),
 t AS (
-    SELECT source, source_size, CASE WHEN level * weight > most THEN most::DOUBLE
+    SELECT source, source_size, w0, w1, CASE WHEN level * weight > most THEN most::DOUBLE
         ELSE weight * max(CASE WHEN level * weight <= most THEN level END) OVER () END AS target
     FROM l
 ),
 r AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS demand,
+    SELECT d.doc_id, d.size, t.source_size, t.target, t.w0, t.w1, round(t.target)::BIGINT AS demand,
         (sum(d.size) OVER (PARTITION BY d.source ORDER BY turn_key, doc_id, size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS supply
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+),
+q AS (
+    SELECT *, (CASE WHEN source_size = 0 THEN 0 ELSE (demand // source_size) * size
+        + greatest(0, least(size, demand % source_size - supply)) END)::BIGINT AS taken, supply / target * ((w0 + w1) / 2) AS need
+    FROM r
 )
-SELECT doc_id, size, source_size, target,
-    (CASE WHEN source_size = 0 THEN 0 ELSE (demand // source_size) * size
-        + greatest(0, least(size, demand % source_size - supply)) END)::BIGINT AS taken
-FROM r
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN least(1.0::DOUBLE,
+    CASE WHEN need > 0 THEN need * 2 / (w0 + sqrt(greatest(w0 * w0 + need * (2 * (w1 - w0)), 0.0::DOUBLE))) ELSE 0.0::DOUBLE END) END AS position
+FROM q
 """,
     "op5_anchors": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
