@@ -27,9 +27,9 @@ from haulage.session import scratch
 
 SIZE, OPEN, END_ID = 4096, 32, 2
 #: Stretches and words a worker remembers before it starts its memory anew. It affects time only.
-ENTRIES_KEPT = 800_000
+ENTRIES_KEPT = 350_000
 #: Text bytes encoded at once: the more, the more often a stretch occurs among them.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Bytes of ids in one batch of a task's output.
 BATCH = 4 << 20
 #: Sequence ids of merged tails begin here; those of a task are its number times 2^32 and more.
