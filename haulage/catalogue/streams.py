@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,11 +81,9 @@ def stream_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule counts over the ingested orders and the rows left in silver."""
-    given = land_orders(spark, sf_dir)
-    lake = _run(spark, given, "silver_pedidos")
-    bronze_rows = silver.first_parts(refresh.read(spark, lake, "bronze_pedidos"))
-    found = rules.report(silver.enrich_orders(bronze_rows, given.customers), silver.ORDER_RULES)
+    """Rule counts that the stream observed while silver was written, and the rows left in silver."""
+    lake = _run(spark, land_orders(spark, sf_dir), "silver_pedidos")
+    found = rules.totals(refresh.ledger(spark, lake)).select("regra", "acao", "total", "aprovadas", "violacoes")
     kept = refresh.read(spark, lake, "silver_pedidos").agg(F.count(F.lit(1))).scalar()
     return plain(found.withColumn("mantidas", kept))
 
@@ -111,11 +112,100 @@ def stream_without_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(refresh.read(spark, lake, "eventos").select("id_movimento", "id_carga", "id_status", "timestamp"))
 
 
+def _landed_twice(spark: SparkSession, sf_dir: str) -> tuple[refresh.Lake, refresh.Inputs]:
+    """A lake after two refreshes of several micro-batches each. First the orders land, a seventh of them with wrong figures, and
+    half of the events; then all orders with the right figures, that is six of seven a second time, and all events."""
+    orders, events, lake = scratch(spark, "pedidos_json"), scratch(spark, "status_json"), refresh.Lake(scratch(spark, "lake"))
+    nested = _nested(spark, sf_dir).withColumn("data_pedido", F.date_format("data_pedido", _MOMENT))
+    path = scratch(spark, "aninhados")
+    nested.write.parquet(path)
+    nested = spark.read.parquet(path)
+    wrong = F.col("id_pedido") % 7 == 0
+    first = nested.withColumns(
+        {
+            "valor_frete": F.when(wrong, F.col("valor_frete") + F.lit(1000.25)).otherwise(F.col("valor_frete")),
+            "cidade_destino": F.when(wrong, F.lit("LONGE")).otherwise(F.col("cidade_destino")),
+            "notas_fiscais": F.when(wrong, F.slice("notas_fiscais", 1, 1)).otherwise(F.col("notas_fiscais")),
+        }
+    )
+    moves = star.status_events(spark, sf_dir).withColumn("timestamp", F.date_format("timestamp", _MOMENT))
+    given = refresh.Inputs(
+        customers=star.customers(spark, sf_dir), orders=orders, status=events, layout="lines", max_files=4,
+        loads=star.loads(spark, sf_dir), trucks=star.trucks(spark, sf_dir),
+    )
+    for documents, part in ((first, "id_movimento % 2 = 0"), (nested, "true")):
+        landing.write_json(documents.repartition(8), orders, 1 << 20, mode="append")
+        landing.write_json(moves.where(part).drop("id_movimento").repartition(8), events, 1 << 20, mode="append")
+        refresh.refresh(spark, lake, given)
+    return lake, given
+
+
+def refresh_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and sums of every table after orders and events came twice and some orders were corrected."""
+    lake, _ = _landed_twice(spark, sf_dir)
+    tables = {
+        "silver_pedidos": ("count(1)", "sum(cast(valor_frete AS decimal(18,4)))"),
+        "silver_itens_nf": ("count(1)", "sum(cast(valor_total_item AS decimal(18,4)))"),
+        "silver_status": ("count(1)", "sum(id_status)"),
+        "estado_cargas": ("count(1)", "sum(id_status)"),
+        "gold_volume_por_rota": ("sum(total_pedidos)", "sum(cast(valor_frete_total AS decimal(18,4)))"),
+        "gold_status_entregas": ("sum(total_cargas)", "sum(total_cargas * id_status)"),
+    }
+    frames = []
+    for name, (rows, total) in tables.items():
+        stored = refresh.state(lake).read(spark) if name == "estado_cargas" else refresh.read(spark, lake, name)
+        frames.append(stored.selectExpr(f"'{name}' AS tabela", f"{rows} AS linhas", f"cast({total} AS double) AS soma"))
+    notes = refresh.invoices(spark, lake)
+    frames.append(notes.selectExpr("'notas' AS tabela", "count(1) AS linhas", "cast(sum(itens) AS double) AS soma"))
+    return plain(reduce(DataFrame.unionByName, frames))
+
+
+def refresh_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route volumes carried forward by counters through replays and corrections."""
+    lake, _ = _landed_twice(spark, sf_dir)
+    return plain(refresh.read(spark, lake, "gold_volume_por_rota"))
+
+
+def refresh_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily volumes carried forward by counters through replays and corrections."""
+    lake, _ = _landed_twice(spark, sf_dir)
+    return plain(refresh.read(spark, lake, "gold_volume_diario"))
+
+
+def rule_counts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of orders, items and events over several micro-batches, of which the first of each table runs twice."""
+    orders, events = land_orders(spark, sf_dir), land_status(spark, sf_dir)
+    given = replace(orders, status=events.status, max_files=3)
+    lake = refresh.Lake(scratch(spark, "lake"))
+    refresh.ingest(spark, lake, given)
+    for step in refresh.steps(spark, given):
+
+        def attempts(batch: DataFrame, number: int, step=step) -> None:
+            for _ in range(2 if number == 0 else 1):
+                refresh.clean_batch(lake, step, batch, number)
+
+        rows = bronze.table_stream(spark, lake.table(step.source), max_files=1)
+        bronze.finish(bronze.each_batch(rows, lake.checkpoint(step.target), attempts))
+    return plain(rules.totals(refresh.ledger(spark, lake)))
+
+
+def newest_status_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of the newest status of each load after many small micro-batches, out of order, with bases in between."""
+    given = replace(land_status(spark, sf_dir), max_files=1)
+    folder, lake = scratch(spark, "status_json"), refresh.Lake(scratch(spark, "lake"))
+    spark.read.text(given.status).repartition(30).write.text(folder)
+    given = replace(given, status=folder)
+    refresh.ingest(spark, lake, replace(given, max_files=10))
+    refresh.clean(spark, lake, given)
+    return plain(refresh.state(lake).read(spark).drop("data_ingestao"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         stream_ingest_orders, stream_ingest_status, stream_orders, stream_items, stream_rules, stream_status_lookup,
-        stream_invoices, stream_without_replays,
+        stream_invoices, stream_without_replays, refresh_replayed, refresh_routes, refresh_daily, rule_counts_stored,
+        newest_status_stored,
     )
 }
 
@@ -152,4 +242,28 @@ ORACLE = {
         "SELECT id_carga, id_status, descricao_status, ordem, timestamp, latitude, longitude FROM silver_eventos"
     ),
     "stream_without_replays": oracle("SELECT id_movimento, id_carga, id_status, timestamp FROM eventos"),
+    "refresh_replayed": oracle(
+        """SELECT 'silver_pedidos' AS tabela, COUNT(*) AS linhas, CAST(SUM(CAST(valor_frete AS DECIMAL(18,4))) AS DOUBLE) AS soma FROM silver
+        UNION ALL SELECT 'silver_itens_nf', COUNT(*), CAST(SUM(CAST(valor_total AS DECIMAL(18,4))) AS DOUBLE) FROM itens WHERE quantidade > 0
+        UNION ALL SELECT 'notas', COUNT(DISTINCT id_nf), CAST(COUNT(*) AS DOUBLE) FROM itens
+        UNION ALL SELECT 'silver_status', COUNT(*), CAST(SUM(id_status) AS DOUBLE) FROM silver_eventos
+        UNION ALL SELECT 'estado_cargas', COUNT(*), CAST(SUM(id_status) AS DOUBLE) FROM ultimo_evento
+        UNION ALL SELECT 'gold_status_entregas', COUNT(*), CAST(SUM(id_status) AS DOUBLE) FROM ultimo_evento
+        UNION ALL SELECT 'gold_volume_por_rota', COUNT(*), CAST(SUM(CAST(valor_frete AS DECIMAL(18,4))) AS DOUBLE) FROM silver"""
+    ),
+    "refresh_routes": oracle("SELECT * FROM rotas"),
+    "refresh_daily": oracle("SELECT * FROM diario"),
+    "rule_counts_stored": oracle(
+        """SELECT tabela, regra, acao, total, total - violacoes AS aprovadas, violacoes FROM (
+        SELECT 'silver_pedidos' AS tabela, 'id_pedido_valido' AS regra, 'drop' AS acao, COUNT(*) AS total, COUNT(*) FILTER (id_pedido IS NULL) AS violacoes FROM pedidos
+        UNION ALL SELECT 'silver_pedidos', 'peso_positivo', 'warn', COUNT(*), COUNT(*) FILTER (peso_total_kg IS NULL OR peso_total_kg <= 0) FROM pedidos
+        UNION ALL SELECT 'silver_pedidos', 'valor_frete_valido', 'drop', COUNT(*), COUNT(*) FILTER (valor_frete IS NULL OR valor_frete < 0) FROM pedidos
+        UNION ALL SELECT 'silver_pedidos', 'data_pedido_legivel', 'warn', COUNT(*), COUNT(*) FILTER (data_pedido IS NULL) FROM pedidos
+        UNION ALL SELECT 'silver_itens_nf', 'quantidade_valida', 'drop', COUNT(*), COUNT(*) FILTER (quantidade IS NULL OR quantidade <= 0) FROM itens
+        UNION ALL SELECT 'silver_status', 'carga_valida', 'drop', COUNT(*), COUNT(*) FILTER (id_carga IS NULL) FROM eventos
+        UNION ALL SELECT 'silver_status', 'momento_legivel', 'warn', COUNT(*), COUNT(*) FILTER (timestamp IS NULL) FROM eventos)"""
+    ),
+    "newest_status_stored": oracle(
+        "SELECT id_carga, id_status, descricao_status, ordem, timestamp, latitude, longitude FROM ultimo_evento"
+    ),
 }

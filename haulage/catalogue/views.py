@@ -42,7 +42,7 @@ def daily_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def totals_of_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that came twice count once on the map, in the figures, by day and by route alike."""
     once = star.silver_orders(spark, sf_dir)
-    twice = once.unionByName(once)
+    twice = gold.one_per_order(once.unionByName(once))
     mapped = views.delivery_map(twice, order_status(spark, sf_dir), star.customers(spark, sf_dir))
     totals = {
         "mapa": mapped.agg(F.count(F.lit(1)).alias("pedidos")),

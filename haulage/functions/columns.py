@@ -35,26 +35,50 @@ def num(value: float) -> Column:
 # ---- exact sums -----------------------------------------------------------------------------------
 
 
-def exact_sum(c: Column | str, scale: int = 9) -> Column:
-    """Sum of a double column in decimal units: the result does not depend on row order.
+def exact_parts(c: Column | str, scale: int = 9) -> dict[str, Column]:
+    """Aggregates of a double column that `exact_total` turns into its sum. Parts of several groups or batches add up, and a value
+    that is taken back is one with its sign changed, so they can be kept and brought forward.
 
-    Values count to `scale` decimals (at most 9), those from 1e5 on to 4 at most: as far as a double holds
-    decimals. Whole units and decimals are summed as BIGINTs, the whole ones in two halves, which stays in generated code and holds
-    2e9 rows of any size. A value that is not below 9e18, or no number, raises.
+    `alto` and `baixo` are the halves of the whole units, `fino` the decimals in units of 1e-9, `n` the number of values, `torto`
+    those that are no finite number.
     """
     value = _col(c).cast("double")
-    checked = F.when(F.abs(value) >= num(9e18), F.raise_error(F.lit("exact_sum: a value is out of range"))).otherwise(value)
+    odd = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+    plain = F.when(odd, F.lit(None)).otherwise(value)
+    checked = F.when(F.abs(plain) >= num(9e18), F.raise_error(F.lit("exact_sum: a value is out of range"))).otherwise(plain)
     whole = F.floor(checked)
-    part = value - whole.cast("double")
+    part = plain - whole.cast("double")
 
     def rounded(digits: int) -> Column:
         return F.floor(part * num(10**digits) + num(0.5)) * F.lit(10 ** (9 - digits))
 
-    fine = F.when(F.abs(value) >= num(1e5), rounded(min(scale, 4))).otherwise(rounded(scale))
-    high, low = F.sum(F.shiftright(whole, 32)), F.sum(whole.bitwiseAND(F.lit(2**32 - 1)))
-    units = (high.cast("decimal(18,0)") * F.lit(2**32).cast("decimal(10,0)")).cast("decimal(28,0)") + low.cast("decimal(20,0)")
-    decimals = F.sum(fine).cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")
-    return (units.cast("decimal(28,0)") + decimals).cast("double")
+    fine = F.when(F.abs(plain) >= num(1e5), rounded(min(scale, 4))).otherwise(rounded(scale))
+    return {
+        "alto": F.sum(F.shiftright(whole, 32)),
+        "baixo": F.sum(whole.bitwiseAND(F.lit(2**32 - 1))),
+        "fino": F.sum(fine),
+        "n": F.count(value),
+        "torto": F.count_if(odd),
+    }
+
+
+def exact_total(alto: Column, baixo: Column, fino: Column, torto: Column) -> Column:
+    """The sum that added-up parts stand for; NaN when a value was no finite number, NULL without values."""
+    high = alto.cast("decimal(18,0)") * F.lit(2**32).cast("decimal(10,0)")
+    units = high.cast("decimal(28,0)") + baixo.cast("decimal(20,0)")
+    decimals = fino.cast("decimal(19,0)") * F.lit("0.000000001").cast("decimal(9,9)")
+    return F.when(torto > 0, F.lit(float("nan"))).otherwise((units.cast("decimal(28,0)") + decimals).cast("double"))
+
+
+def exact_sum(c: Column | str, scale: int = 9) -> Column:
+    """Sum of a double column in decimal units: the result does not depend on row order.
+
+    Values count to `scale` decimals (at most 9), those from 1e5 on to 4 at most: as far as a double holds
+    decimals. Whole units and decimals are summed as BIGINTs, the whole ones in two halves, which stays in generated code and holds
+    2e9 rows of any size. A value that is not below 9e18 raises; one that is no finite number makes the sum NaN.
+    """
+    parts = exact_parts(c, scale)
+    return exact_total(parts["alto"], parts["baixo"], parts["fino"], parts["torto"])
 
 
 def exact_avg(c: Column | str, scale: int = 9) -> Column:
@@ -155,11 +179,6 @@ def or_no_status(status: Column | str) -> Column:
     return F.coalesce(_col(status), F.lit(NO_STATUS))
 
 
-def flag(condition: Column) -> Column:
-    """1 where the condition is TRUE, else 0."""
-    return F.when(condition, 1).otherwise(0).cast("bigint")
-
-
 # ---- dates ----------------------------------------------------------------------------------------
 
 

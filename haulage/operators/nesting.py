@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,15 +105,16 @@ def explode_items(orders: DataFrame, carry: list[str]) -> DataFrame:
     )
 
 
-def explode_invoices(orders: DataFrame) -> DataFrame:
-    """One row per invoice struct: header, number, value and weight of its items. Works on a stream.
+def explode_invoices(orders: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per invoice struct: header, number, value and weight of its items, and columns of the document. Works on a stream.
 
     An invoice over the limits gives several rows; `invoices` brings them together.
     """
     def total(field):
         return _array_sum(F.coalesce("nf.itens", F.array()), lambda it: it[field].cast("decimal(18,4)"))
 
-    return orders.select(F.explode("notas_fiscais").alias("nf")).select(
+    return orders.select(*carry, F.explode("notas_fiscais").alias("nf")).select(
+        *carry,
         *[f"nf.{c}" for c in INVOICE_FIELDS],
         F.greatest(F.size("nf.itens"), F.lit(0)).cast("bigint").alias("itens"),
         total("valor_total").alias("valor_itens"),

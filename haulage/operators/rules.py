@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,7 @@ class Rule:
         return F.coalesce(F.expr(self.condition), F.lit(False))
 
 
-def apply(df: DataFrame, rules: Sequence[Rule], metrics: str | None = None) -> DataFrame:
+def apply(df: DataFrame, rules: Sequence[Rule], metrics: str | Observation | None = None) -> DataFrame:
     """Rows that pass every dropping rule.
 
     With `metrics`, row and violation counts are observed under that name: in `observedMetrics` of each
@@ -57,3 +57,29 @@ def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .select("r.regra", "r.acao", F.col("_all").alias("total"), "r.aprovadas")
         .withColumn("violacoes", F.col("total") - F.col("aprovadas"))
     )
+
+
+def record(spark: SparkSession, path: str, table: str, number: int, rules: Sequence[Rule], observed: dict[str, int]) -> None:
+    """Write what `apply` observed in micro-batch `number` of a table into the ledger at `path`.
+
+    A batch that is tried again replaces its rows, so each one counts once.
+    """
+    total = observed.get("linhas", 0)
+    lines = [(r.name, "drop" if r.drop else "warn", total, observed.get(r.name, 0)) for r in rules]
+    frame = spark.createDataFrame(lines, "regra string, acao string, total bigint, violacoes bigint").coalesce(1)
+    frame.withColumn("momento", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/tabela={table}/passo={number}")
+
+
+def recorded(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger: (tabela, passo, regra, acao, total, violacoes, momento), one row per table, micro-batch and rule."""
+    ddl = "regra string, acao string, total bigint, violacoes bigint, momento timestamp, tabela string, passo bigint"
+    return spark.read.schema(ddl).parquet(path)
+
+
+def totals(ledger: DataFrame) -> DataFrame:
+    """Sums over all micro-batches, in the form of `report`, by table."""
+    return (
+        ledger.groupBy("tabela", "regra", "acao")
+        .agg(F.sum("total").alias("total"), F.sum("violacoes").alias("violacoes"))
+        .withColumn("aprovadas", F.col("total") - F.col("violacoes"))
+    )

@@ -18,13 +18,14 @@ def newest_event_order(events: DataFrame) -> list[str]:
 
 
 def one_per_order(orders: DataFrame) -> DataFrame:
-    """Replayed input may repeat an order; the row ingested last counts. All figures start from this."""
+    """The row ingested last of each order, for input that has not passed the ingest: silver holds an order once."""
     order = [x for x in ("data_ingestao", "data_pedido", "valor_frete", "peso_total_kg") if x in orders.columns]
     return latest_per_key(orders, ["id_pedido"], order)
 
 
 def route_volume(orders: DataFrame) -> DataFrame:
-    return one_per_order(orders).groupBy(*ROUTE).agg(
+    """By route; `orders` has one row per order."""
+    return orders.groupBy(*ROUTE).agg(
         F.count("id_pedido").alias("total_pedidos"),
         c.exact_sum("peso_total_kg").alias("peso_total"),
         c.exact_sum("valor_frete").alias("valor_frete_total"),

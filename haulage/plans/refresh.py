@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from haulage.operators import nesting
-from haulage.plans import gold
+from haulage.operators import lookup, nesting, rules
+from haulage.plans import counters, gold
 from haulage.sources import schemas
 from haulage.streaming import bronze, silver
-
-WRITERS_PER_FOLDER = 4
+from haulage.streaming.live import StateTable
+from haulage.streaming.seen import Seen
+
+#: What makes two documents of a feed the same one.
+ORDER_KEYS = ("id_pedido", "parte")
+INVOICE_KEYS = ("id_nf", "id_pedido")
+EVENT_KEYS = ("id_carga", "id_status", "timestamp", "observacao", "latitude", "longitude")
+FEEDS = {
+    "bronze_pedidos": (schemas.ORDER, ORDER_KEYS, "id_pedido bigint, parte int"),
+    "bronze_nfs": (schemas.INVOICE, INVOICE_KEYS, "id_nf bigint, id_pedido bigint"),
+    "bronze_status": (
+        schemas.STATUS,
+        EVENT_KEYS,
+        "id_carga bigint, id_status int, timestamp string, observacao string, latitude double, longitude double",
+    ),
+}
 
 
 @dataclass(frozen=True)
@@ -48,51 +62,99 @@ class Inputs:
     max_files: int | None = None
 
 
+def seen(lake: Lake, name: str) -> Seen:
+    """The index of what a bronze table holds."""
+    _, keys, types = FEEDS[name]
+    return Seen(lake.table(f"_vistos/{name}"), keys, types)
+
+
+def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rule counts of every micro-batch, see `rules.recorded`."""
+    return rules.recorded(spark, lake.table("_regras"))
+
+
 def ingest(spark: SparkSession, lake: Lake, given: Inputs) -> None:
-    """Bronze: only files that earlier calls have not seen are read. The streams run side by side."""
+    """Bronze: only files that earlier calls have not seen are read, and of their documents those that are not stored yet.
+
+    The streams run side by side; a micro-batch becomes `lote=<number>` of its table.
+    """
     running = []
-    for folder, ddl, name in (
-        (given.orders, schemas.ORDER, "bronze_pedidos"),
-        (given.invoices, schemas.INVOICE, "bronze_nfs"),
-        (given.status, schemas.STATUS, "bronze_status"),
-    ):
+    for name, folder in (("bronze_pedidos", given.orders), ("bronze_nfs", given.invoices), ("bronze_status", given.status)):
         if folder:
-            stream = bronze.landing_stream(spark, folder, ddl, given.layout, given.max_files)
-            running.append(bronze.append(stream, lake.table(name), lake.checkpoint(name)))
+            stream = bronze.landing_stream(spark, folder, FEEDS[name][0], given.layout, given.max_files)
+            known, table = seen(lake, name), lake.table(name)
+            running.append(
+                bronze.each_batch(stream, lake.checkpoint(name), lambda batch, number, k=known, t=table: k.add(batch, number, t))
+            )
     bronze.finish_all(running)
 
 
+@dataclass(frozen=True)
+class Step:
+    """How a bronze table becomes a silver one: the change takes the rows and where to count rule violations."""
+
+    source: str
+    target: str
+    change: Callable[[DataFrame, Observation], DataFrame]
+    rules: tuple[rules.Rule, ...] = ()
+    by: tuple[str, ...] = ()
+
+
+def steps(spark: SparkSession, given: Inputs) -> list[Step]:
+    found = []
+    if given.orders:
+        made = lambda df, seen_: silver.orders(df, given.customers, seen_)
+        found.append(Step("bronze_pedidos", "silver_pedidos", made, silver.ORDER_RULES, ("ano", "mes")))
+        found.append(Step("bronze_pedidos", "silver_itens_nf", silver.items, silver.ITEM_RULES))
+        found.append(Step("bronze_pedidos", "silver_notas_fiscais", lambda df, _: silver.invoices(df)))
+    if given.status:
+        names = schemas.status_reference(spark)
+        found.append(Step("bronze_status", "silver_status", lambda df, seen_: silver.status(df, names, seen_), silver.STATUS_RULES))
+    return found
+
+
+def clean_batch(lake: Lake, step: Step, batch: DataFrame, number: int) -> None:
+    """One micro-batch of a silver table: its rows as `passo=<number>`, its rule counts in the ledger, and for events the newest status
+    of each load. All of it replaces what an earlier attempt of the batch has left."""
+    spark, counts, target = batch.sparkSession, Observation(), lake.table(step.target)
+    kept = step.change(batch.drop("_perto", "_conteudo"), counts)
+    # Writers by measured size: small groups share one, large ones are split.
+    kept = kept.hint("rebalance", "lote", *step.by)
+    kept.write.mode("overwrite").partitionBy("lote", *step.by).parquet(f"{target}/passo={number}")
+    if step.rules:
+        rules.record(spark, lake.table("_regras"), step.target, number, step.rules, counts.get)
+    if step.target == "silver_status":
+        written = spark.read.schema(kept.schema).parquet(f"{target}/passo={number}")
+        state(lake).put(written, number)
+
+
 def clean(spark: SparkSession, lake: Lake, given: Inputs, targets: Collection[str] | None = None) -> None:
     """Silver: new bronze rows through rules and lookups. Orders are stored by year and month.
 
     `targets` names the tables to bring up to date; the others keep their place in the stream for a later call.
     """
-    steps = []
-    if given.orders:
-        steps.append(
-            ("bronze_pedidos", "silver_pedidos", lambda df: silver.orders(df, given.customers), ("ano", "mes"))
-        )
-        steps.append(("bronze_pedidos", "silver_itens_nf", silver.items, ()))
-        steps.append(("bronze_pedidos", "silver_notas_fiscais", silver.invoices, ()))
-    if given.status:
-        names = schemas.status_reference(spark)
-        steps.append(("bronze_status", "silver_status", lambda df: silver.status(df, names), ()))
     running = []
-    for source, target, change, parts in steps:
-        if targets is not None and target not in targets:
+    for step in steps(spark, given):
+        if targets is not None and step.target not in targets:
             continue
-        rows = change(bronze.table_stream(spark, lake.table(source), given.max_files))
-        if parts:
-            # A few writers per folder: not one file per task and month, nor one task for a busy month.
-            writer = F.pmod(F.xxhash64("id_pedido"), F.lit(WRITERS_PER_FOLDER))
-            rows = rows.repartition(*parts, writer)
-        running.append(bronze.append(rows, lake.table(target), lake.checkpoint(target), parts))
+        rows = bronze.table_stream(spark, lake.table(step.source), given.max_files)
+        each = lambda batch, number, s=step: clean_batch(lake, s, batch, number)
+        running.append(bronze.each_batch(rows, lake.checkpoint(step.target), each))
     bronze.finish_all(running)
 
 
+def state(lake: Lake) -> StateTable:
+    return StateTable(lake.table("estado_cargas"))
+
+
 def read(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    """Full read of a table."""
-    return spark.read.parquet(lake.table(name))
+    """Full read of a table. Of corrected documents the newest version counts."""
+    rows = spark.read.parquet(lake.table(name))
+    if name in ("silver_pedidos", "silver_itens_nf", "silver_notas_fiscais"):
+        return seen(lake, "bronze_pedidos").current(rows)
+    if name.startswith("bronze_"):
+        return seen(lake, name).current(rows)
+    return rows
 
 
 def invoices(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -100,15 +162,44 @@ def invoices(spark: SparkSession, lake: Lake) -> DataFrame:
     return nesting.invoices(read(spark, lake, "silver_notas_fiscais"))
 
 
+def count_orders(spark: SparkSession, lake: Lake) -> bool:
+    """Bring the order counters forward by the bronze micro-batches that came since the last call; False if there are none.
+
+    Reads the silver partitions of these batches, and those of the versions that their corrections replace.
+    """
+    totals, known = counters.table(lake.table("_contadores")), seen(lake, "bronze_pedidos")
+    newest = max(known.index.numbers(spark, "deltas"), default=-1)
+    base, deltas = totals.parts(spark)
+    done = max([*deltas, -1 if base is None else base], default=-1)
+    if newest <= done:
+        return False
+    orders = spark.read.parquet(lake.table("silver_pedidos"))
+    rows = counters.counted(orders.where(F.col("lote").between(done + 1, newest)))
+    replaced = known.old.read(spark).where(F.col("lote").between(done + 1, newest) & (F.coalesce("parte", F.lit(0)) == 0))
+    if not replaced.isEmpty():
+        gone = known.among(orders, lookup.sized(replaced.drop("lote")), "left_semi")
+        rows = rows.unionByName(counters.counted(gone, -1))
+    totals.write(counters.merged(rows), newest)
+    totals.compact(spark, newest + 1, counters.merged)
+    return True
+
+
+def order_counters(spark: SparkSession, lake: Lake) -> DataFrame:
+    return counters.table(lake.table("_contadores")).read(spark)
+
+
 def aggregate(spark: SparkSession, lake: Lake, given: Inputs) -> None:
-    """Gold: recomputed from the whole silver layer and overwritten."""
+    """Gold: figures of orders from counters that only the new rows change, the status summary from one row per load."""
     results = {}
     if given.orders:
-        results["gold_volume_por_rota"] = gold.route_volume(read(spark, lake, "silver_pedidos"))
+        count_orders(spark, lake)
+        counted = order_counters(spark, lake)
+        results["gold_volume_por_rota"] = counters.route_volume(counted)
+        results["gold_volume_diario"] = counters.daily_volume(counted)
     if given.loads is not None and given.trucks is not None:
         results["gold_performance_frota"] = gold.fleet_performance(given.loads, given.trucks)
     if given.status:
-        results["gold_status_entregas"] = gold.status_summary(read(spark, lake, "silver_status"))
+        results["gold_status_entregas"] = gold.status_summary(state(lake).read(spark))
     for name, frame in results.items():
         frame.write.mode("overwrite").parquet(lake.table(name))
 

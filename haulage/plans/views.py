@@ -10,7 +10,6 @@ from haulage.operators.latest import latest_per_key
 from haulage.operators.lookup import sized
 from haulage.operators.links import order_load_links
 from haulage.plans import gold
-from haulage.plans.gold import one_per_order
 from haulage.sources import tables
 from haulage.sources.schemas import DELIVERED, ON_THE_ROAD
 
@@ -59,7 +58,7 @@ def _with_status(orders: DataFrame, status: DataFrame) -> DataFrame:
 def delivery_map(orders: DataFrame, status: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per order with both coordinates and its current status."""
     centroids = city_centroids(customers)
-    named = one_per_order(orders)
+    named = orders
     if "cidade_cliente" not in orders.columns:
         who = customers.select("id_cliente", F.col("cidade").alias("cidade_cliente"))
         named = named.join(sized(who), "id_cliente", "left")
@@ -86,7 +85,7 @@ def delivery_map(orders: DataFrame, status: DataFrame, customers: DataFrame) ->
 
 def kpi_row(orders: DataFrame, status: DataFrame, loads: DataFrame) -> DataFrame:
     """One row of operational figures, at order grain; active trucks are those with any load."""
-    known = _with_status(one_per_order(orders), status)
+    known = _with_status(orders, status)
     return (
         known.agg(
             F.count("id_pedido").alias("total_pedidos"),
@@ -111,7 +110,7 @@ def kpi_row(orders: DataFrame, status: DataFrame, loads: DataFrame) -> DataFrame
 
 
 def daily_volume(orders: DataFrame) -> DataFrame:
-    return one_per_order(orders).groupBy(F.to_date("data_pedido").alias("data")).agg(
+    return orders.groupBy(F.to_date("data_pedido").alias("data")).agg(
         F.count(F.lit(1)).alias("total_pedidos"),
         c.round_half_up(c.exact_sum("peso_total_kg"), 2).alias("peso_total"),
         c.round_half_up(c.exact_sum("valor_frete"), 2).alias("valor_total"),
@@ -125,7 +124,7 @@ def driver_performance(drivers: DataFrame, loads: DataFrame, orders: DataFrame)
     km = loads.groupBy("id_caminhao").agg(F.sum(F.col("km_total").cast("bigint")).alias("_km"))
     carried = order_load_links(loads, extra=("id_caminhao",)).select("id_caminhao", "id_pedido").distinct()
     freight = (
-        carried.join(one_per_order(orders).select("id_pedido", "valor_frete"), "id_pedido", "left")
+        carried.join(orders.select("id_pedido", "valor_frete"), "id_pedido", "left")
         .groupBy("id_caminhao")
         .agg(F.count(F.lit(1)).alias("_n"), c.exact_sum("valor_frete").alias("_frete"))
     )

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from haulage.sources.landing import read_options
 from haulage.sources.schemas import struct
+from haulage.streaming.seen import Seen
 
 
 def landing_stream(
@@ -27,6 +26,7 @@ def landing_stream(
     return (
         reader.load(path)
         .withColumn("arquivo_origem", F.col("_metadata.file_path"))
+        .withColumn("arquivo_momento", F.col("_metadata.file_modification_time"))
         .withColumn("data_ingestao", F.current_timestamp())
     )
 
@@ -47,29 +47,22 @@ def append(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, .
     return writer.trigger(availableNow=True).start(path)
 
 
-def append_new(df: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Like `append`, without rows whose keys are stored already, however late either of them comes.
+def append_new(df: DataFrame, path: str, checkpoint: str, keys: list[str], index: str | None = None) -> StreamingQuery:
+    """Like `append`, without rows whose keys are stored already, however late either of them comes: see `seen`. NULL keys are equal
+    to one another.
 
-    What has been seen is the table itself, so there is no state to bound and no first-seen row is lost. Each
-    micro-batch is joined with the key columns of the table. A batch that runs again after a failure finds its own rows
-    stored. NULL keys are equal to one another.
+    Each micro-batch becomes `<path>/lote=<number>` whole, so one that runs again after a failure replaces itself. What has been
+    seen is an index beside the checkpoint (or at `index`), of which a batch reads the buckets it touches.
     """
-    def add(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(keys)
-        try:
-            stored = spark.read.schema(batch.schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            seen = stored.select(*[F.col(k).alias(f"_seen{n}") for n, k in enumerate(keys)])
-            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_seen{n}")) for n, k in enumerate(keys)])
-            fresh = fresh.join(seen, same, "left_anti")
-        fresh.write.mode("append").parquet(path)
-
-    writer = df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    types = dict(df.dtypes)
+    given = ", ".join(f"{k} {types[k]}" for k in keys)
+    known = Seen(index or f"{checkpoint}-vistos", tuple(keys), given, by_content=False, null_is_key=True)
+    return each_batch(df, checkpoint, lambda batch, number: known.add(batch, number, path))
+
+
+def each_batch(df: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """`step` for each micro-batch of what is available now."""
+    return df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from haulage.functions import columns as c
@@ -13,8 +13,8 @@ from haulage.operators.rules import Rule
 
 ORDER_RULES = (
     Rule("id_pedido_valido", "id_pedido IS NOT NULL", drop=True),
-    Rule("peso_positivo", "peso_total_kg > 0"),
-    Rule("valor_frete_valido", "valor_frete >= 0", drop=True),
+    Rule("peso_positivo", "peso_total_kg > 0 AND NOT isnan(peso_total_kg)"),
+    Rule("valor_frete_valido", "valor_frete >= 0 AND NOT isnan(valor_frete)", drop=True),
     Rule("data_pedido_legivel", "data_pedido IS NOT NULL"),
 )
 ITEM_RULES = (Rule("quantidade_valida", "quantidade > 0", drop=True),)
@@ -58,7 +58,12 @@ def enrich_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return dated.withColumns(c.calendar_parts("data_pedido"))
 
 
-def orders(bronze: DataFrame, customers: DataFrame, metrics: str | None = "regras_pedidos") -> DataFrame:
+def version(bronze: DataFrame) -> list[str]:
+    """The columns that say which version of which document a row comes from, as far as the source has them."""
+    return [c for c in ("parte", "lote") if c in bronze.columns]
+
+
+def orders(bronze: DataFrame, customers: DataFrame, metrics: str | Observation | None = "regras_pedidos") -> DataFrame:
     """Order headers. Invoices are a table of their own (`invoices`): a continuation document holds further ones."""
     headers = first_parts(bronze).drop("notas_fiscais")
     return rules.apply(enrich_orders(headers, customers), ORDER_RULES, metrics)
@@ -66,11 +71,11 @@ def orders(bronze: DataFrame, customers: DataFrame, metrics: str | None = "regra
 
 def invoices(bronze: DataFrame) -> DataFrame:
     """Invoices of all documents of an order, one row per struct; `nesting.invoices` gives the invoice grain."""
-    return c.with_moment(explode_invoices(bronze), "data_emissao")
+    return c.with_moment(explode_invoices(bronze, version(bronze)), "data_emissao")
 
 
-def items(bronze: DataFrame, metrics: str | None = "regras_itens") -> DataFrame:
-    flat = explode_items(c.with_moment(bronze, "data_pedido"), ITEM_CARRY).withColumn("ncm", c.digits_only("ncm"))
+def items(bronze: DataFrame, metrics: str | Observation | None = "regras_itens") -> DataFrame:
+    flat = explode_items(c.with_moment(bronze, "data_pedido"), [*ITEM_CARRY, *version(bronze)]).withColumn("ncm", c.digits_only("ncm"))
     return rules.apply(flat, ITEM_RULES, metrics)
 
 
@@ -83,5 +88,5 @@ def describe_status(events: DataFrame, reference: DataFrame) -> DataFrame:
     return c.with_moment(named, "timestamp")
 
 
-def status(bronze: DataFrame, reference: DataFrame, metrics: str | None = "regras_status") -> DataFrame:
+def status(bronze: DataFrame, reference: DataFrame, metrics: str | Observation | None = "regras_status") -> DataFrame:
     return rules.apply(describe_status(bronze, reference), STATUS_RULES, metrics)
