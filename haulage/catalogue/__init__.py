@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulage.catalogue import dispatch, forecasts, quality, routes, status, streams, views
+from haulage.catalogue import dispatch, forecasts, published, quality, routes, status, streams, views
 
-MODULES = (routes, status, views, dispatch, quality, streams, forecasts)
+MODULES = (routes, status, views, dispatch, quality, streams, published, forecasts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

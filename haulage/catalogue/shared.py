@@ -147,6 +147,7 @@ BLOCKS: dict[str, str] = {
         CAST(10 AS DOUBLE) + CAST(l_partkey % 40 AS DOUBLE) AS largura_cm,
         CAST(5 AS DOUBLE) + CAST(l_partkey % 25 AS DOUBLE) AS altura_cm
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
+    "notas": f"SELECT id_nf, id_pedido, {esum('valor_total')} AS valor FROM itens GROUP BY 1, 2",
     "rotas": f"""SELECT cidade_origem, uf_origem, cidade_destino, uf_destino, COUNT(id_pedido) AS total_pedidos,
         {esum('peso_total_kg')} AS peso_total, {esum('valor_frete')} AS valor_frete_total,
         {eavg('valor_frete')} AS frete_medio FROM silver GROUP BY 1, 2, 3, 4""",

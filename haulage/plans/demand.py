@@ -87,7 +87,8 @@ def split(features: DataFrame, by_time: bool = False, train_share: float = TRAIN
         border = known.agg(F.percentile_approx(weeks, train_share, 10000)).scalar()
         return known.filter(weeks <= border), known.filter(weeks > border)
     keys = [x for x in ("rota", "ano", "semana", "mes") if x in features.columns]
-    draw = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10_000))
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 10_000
     cut = int(train_share * 10_000)
     return known.filter(draw < cut), known.filter(draw >= cut)
 
@@ -154,6 +155,46 @@ def score_frame(predicted: DataFrame) -> DataFrame:
     )
 
 
+def baseline(rows: DataFrame, factor: float = 1.0) -> DataFrame:
+    """The count of the week before, times a factor, as prediction: what a model has to beat."""
+    return rows.withColumn(PREDICTION, F.col("total_pedidos_semana_anterior").cast("double") * F.lit(factor))
+
+
+def folds(features: DataFrame, n: int = 4) -> DataFrame:
+    """Rolling origin: rows of the last `n` weeks, each in the fold that tests it, and earlier rows in every fold that may see them.
+
+    (fold, papel, features): fold k tests the k-th last week and sees all weeks before. One job serves all folds; a row is repeated
+    at most `n` times.
+    """
+    last = features.select("inicio_semana").distinct().orderBy(F.desc("inicio_semana")).limit(n)
+    starts = last.select((F.row_number().over(Window.orderBy(F.desc("inicio_semana")))).alias("fold"), F.col("inicio_semana").alias("_teste"))
+    role = F.when(F.col("inicio_semana") == F.col("_teste"), "teste").otherwise("treino")
+    known = features.where("total_pedidos_semana_anterior IS NOT NULL")
+    paired = known.join(F.broadcast(starts), F.col("inicio_semana") <= F.col("_teste"))
+    return paired.select("fold", role.alias("papel"), *features.columns)
+
+
+def baseline_scores(rows: DataFrame, *by: str) -> DataFrame:
+    """Errors of the week before as prediction, from integer sums, so that they are the same in any order: linhas, mae, rmse, r2."""
+    error = F.col(TARGET) - F.col("total_pedidos_semana_anterior")
+    summed = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("linhas"),
+        F.sum(F.abs(error)).alias("_a"),
+        F.sum(error * error).alias("_e"),
+        F.sum(TARGET).alias("_y"),
+        F.sum(F.col(TARGET) * F.col(TARGET)).alias("_yy"),
+    )
+    n, e = F.col("linhas").cast("double"), F.col("_e").cast("double")
+    spread = F.col("_yy").cast("double") - F.col("_y").cast("double") * F.col("_y").cast("double") / n
+    return summed.select(
+        *by,
+        "linhas",
+        (F.col("_a").cast("double") / n).alias("mae"),
+        F.sqrt(e / n).alias("rmse"),
+        F.when(spread > 0, F.lit(1.0) - e / spread).alias("r2"),
+    )
+
+
 def importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Feature and importance, seven rows, least important first."""
     weights = model.stages[-1].featureImportances.toArray().tolist()
@@ -166,9 +207,25 @@ def forecast_table(predicted: DataFrame) -> DataFrame:
     )
 
 
+def new_version(spark: SparkSession, root: str) -> int:
+    """The next version number below `root`, claimed by a file that is created only if it is not there.
+
+    Two writers get two numbers, as far as the file system creates a file for one of them only (as shared ones do).
+    """
+    jvm = spark._jvm
+    number = 1
+    while True:
+        claim = jvm.org.apache.hadoop.fs.Path(f"{root}/_versoes/v{number:06d}")
+        system = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.exists(claim) and system.createNewFile(claim):
+            return number
+        number += 1
+
+
 def save_model(model: PipelineModel, root: str, version: int) -> str:
+    """Save under a number from `new_version`; a number is written once."""
     path = f"{root}/v{version}"
-    model.write().overwrite().save(path)
+    model.write().save(path)
     return path
 
 

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from haulage.functions import columns as c
 from haulage.operators import lookup, nesting, rules
 from haulage.plans import counters, gold
 from haulage.sources import schemas
@@ -177,6 +178,13 @@ def invoices(spark: SparkSession, lake: Lake) -> DataFrame:
     return nesting.invoices(read(spark, lake, "silver_notas_fiscais"))
 
 
+def all_invoices(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """Invoice headers of the separate feed and of those nested in orders, in one form, one row for each."""
+    fields = ["id_pedido", "numero_nf", "data_emissao", "valor_total", "chave_acesso"]
+    own = c.with_moment(read(spark, lake, "bronze_nfs"), "data_emissao").select("id_nf", *fields)
+    return own, invoices(spark, lake).select("id_nf", *fields)
+
+
 def count_orders(spark: SparkSession, lake: Lake) -> bool:
     """Bring the order counters forward by the bronze micro-batches that came since the last call; False if there are none.
 

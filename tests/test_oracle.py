@@ -23,7 +23,7 @@ def db():
 def test_every_statement_belongs_to_a_query():
     assert set(TEXTS) <= set(driver.queries())
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(catalogue.queries()) - set(TEXTS) == {"demand_forecast", "forecast_metrics", "feature_importance", "table_inventory"}
+    assert set(catalogue.queries()) - set(TEXTS) == {"demand_forecast", "forecast_metrics", "feature_importance"}
 
 
 @pytest.mark.parametrize("name", sorted(TEXTS))
@@ -31,7 +31,7 @@ def test_query_matches_its_statement(spark, db, name):
     assert oracle.compare(catalogue.queries()[name](spark, SMALL), db, TEXTS[name]) is None
 
 
-@pytest.mark.parametrize("name", ["demand_forecast", "forecast_metrics", "feature_importance", "table_inventory"])
+@pytest.mark.parametrize("name", ["demand_forecast", "forecast_metrics", "feature_importance"])
 def test_query_gives_rows(spark, name):
     frame = catalogue.queries()[name](spark, SMALL)
     assert frame.columns and frame.schema == catalogue.queries()[name](spark, SMALL).schema
