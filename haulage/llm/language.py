@@ -58,13 +58,17 @@ def vocabulary(path: str) -> dict[str, int]:
     for n in range(model.get_piece_size()):
         piece = model.id_to_piece(n)
         body = piece.removeprefix(MARK)
-        if model.is_byte(n) or (body == "" and piece) or (LETTERS.fullmatch(body) and body == body.lower()):
+        if model.is_byte(n) or (body == "" and piece) or (body.isalpha() and body == body.lower()):
             kept[piece] = n
     return kept
 
 
 def words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters. Number signs like ½ or ² pass the pattern, but are no letters: they part words."""
+    found = LETTERS.findall(text.lower())
+    if found and not "".join(found).isalpha():
+        found = [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+    return found
 
 
 class Lattice:
@@ -237,11 +241,11 @@ def learn(rows: DataFrame, path: str, rounds: int = ROUNDS, most: int = LEARNED_
     sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
     if len(sizes) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    draw = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1_000_003))
-    large = {lang: int(most / n * 1_000_003) for lang, n in sizes.items() if n > most}
+    draw = F.shiftrightunsigned(F.xxhash64("doc_id", "lang", "text"), 1) / F.lit(2.0**63)
+    large = {lang: most / n for lang, n in sizes.items() if n > most}
     if large:
         limits = F.create_map(*(F.lit(x) for pair in large.items() for x in pair))
-        chosen = usable.where(draw < F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(1_000_003)))
+        chosen = usable.where(draw < F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(1.0)))
     else:
         chosen = usable
     kept = scratch(spark, "language-words")

@@ -55,6 +55,13 @@ def _ranks(order: np.ndarray) -> np.ndarray:
     return ranks
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component to about 1: directions and cosines stay as they are, and
+    norms of very small or large vectors are numbers."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0.0))
+    return np.ldexp(vectors, -exponent)
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -71,7 +78,7 @@ def _posted(pivots: np.ndarray, prefix: int):
         for whole in parts:
             for start in range(0, whole.num_rows, SLICE):
                 part = whole.slice(start, SLICE)
-                vectors = _matrix(part.column("embedding"))
+                vectors = _scaled(_matrix(part.column("embedding")))
                 near = _ordered(_unit(vectors), pivots)[:, :prefix].astype(np.int32)
                 data = [v.tobytes() for v in vectors]
                 ids = part.column("id").to_numpy()
@@ -153,7 +160,7 @@ def nearest(vectors: DataFrame, count: int = 5, every: int = 50) -> DataFrame:
     sample = heads.withColumn("h", F.xxhash64(F.col("id"), F.lit("pivot"))).orderBy("h", "id").limit(amount).collect()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    pivots = _unit(np.array([r.embedding for r in sample], np.float64))
+    pivots = _unit(_scaled(np.array([r.embedding for r in sample], np.float64)))
     prefix = min(PREFIX, len(sample))
     asking = rows.where(F.col("vec_id") % every == 0)
     classed = asking.join(heads, "embedding").select(F.col("vec_id").alias("query_id"), F.col("id").alias("query"), "embedding")

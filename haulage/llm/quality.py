@@ -103,7 +103,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS
     share = F.lit(0.0)
     for quality, n in sizes.items():
         share = F.when(F.col("quality") == quality, min(1.0, per_class / n)).otherwise(share)
-    spread = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1_000_003)) / 1_000_003
+    spread = lambda *c: F.shiftrightunsigned(F.xxhash64(*c), 1) / F.lit(2.0**63)
     chosen = marks.where(spread("doc_id") < share)
     used = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about 2 * per_class rows
     used = used.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)))
@@ -117,7 +117,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS
             for quality, text in zip(part.column("quality").to_pylist(), batches.raw(part)):
                 for at in range(0, len(text), BLOCK_BYTES):
                     block = text[at : at + BLOCK_BYTES]
-                    out.append((quality, block, xxhash.xxh3_64_intdigest(block, at) % 1_000_003))
+                    out.append((quality, block, xxhash.xxh3_64_intdigest(block, at) >> 1))
             yield batches.rows(cut, **{n: [o[i] for o in out] for i, n in enumerate(cut.names)})
 
     pieces = used.where("half = 0").select("quality", "text").mapInArrow(run, "quality int, block binary, pick long")
@@ -127,7 +127,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = LEARNED_PER_CLASS
     limit = F.lit(0.0)
     for quality, n in counts.items():
         limit = F.when(F.col("quality") == quality, min(1.0, blocks / n)).otherwise(limit)
-    held = pieces.where(F.col("pick") / 1_000_003 < limit).orderBy("quality", "pick", "block").collect()
+    held = pieces.where(F.col("pick") / F.lit(2.0**63) < limit).orderBy("quality", "pick", "block").collect()
     good, bad = (_dictionary([bytes(r.block) for r in held if r.quality == q]) for q in (1, 0))
     measured = used.where("half = 1").select("quality", "text").mapInArrow(_measures(good, bad), "quality int, difference double, density double")
     rows = sorted(tuple(r) for r in measured.collect())

@@ -15,7 +15,7 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from haulage.llm import catalogue, language, mixture, neighbours, quality
 from tests import oracle
-from tests.llm.conftest import SMALL, odd_rows
+from tests.llm.conftest import SMALL, odd_rows, prose
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 MIDDLE = "/root/testdata/sf0.01"
@@ -249,3 +249,35 @@ def test_pipeline_keeps_one_of_each_group_and_good_documents(spark):
 def test_pipeline_runs(spark):
     made = corpus_pipeline.run(spark, SMALL)
     assert made.columns == ["doc_id", "n_tokens", "ids", "decoded"] and made.count() > 100
+
+
+def test_pipeline_keeps_unlike_texts_of_one_id_and_drops_copies_without_id(spark):
+    one, two, near = prose(1, 200), prose(2, 200), prose(1, 199)
+    rows = [(1, one), (1, two), (1, two), (2, one), (3, near), (4, prose(4, 100)), (None, two), (None, prose(5, 60)), (None, prose(5, 60)), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.keep_one(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    twos = [f for f in found if f[1] == two]
+    assert len(twos) == 1 and twos[0][0] in (1, None)
+    assert sorted((f for f in found if f[1] != two), key=str) == sorted([(2, one), (4, prose(4, 100)), (None, prose(5, 60)), (5, None), (6, "")], key=str)
+
+
+def test_very_small_and_large_vectors_have_neighbours(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(120, 8))
+    scale = np.array([1e-200, 1.0, 1e200])[np.arange(120) % 3]
+    rows = [(n, [float(x) for x in v * s]) for n, (v, s) in enumerate(zip(base, scale))]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    hits = 0
+    for q in {r.query_id for r in found}:
+        own = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
+        assert all(r.score == r.score and abs(r.score - unit[q] @ unit[r.vec_id]) < 1e-9 for r in own) and len(own) == 5
+        best = [int(i) for i in np.argsort(-(unit @ unit[q])) if i != q][:5]
+        hits += len(set(best) & {r.vec_id for r in own})
+    assert hits >= 13
+
+
+def test_number_signs_are_no_letters():
+    assert language.words("½ ② 5 Ⅷ") == [] and language.words("a²b ½c Été") == ["a", "b", "c", "été"]
