@@ -23,13 +23,24 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each group linked by five-word shingles with a similarity of 0.8 or more.
 
-    Of rows with one id one stays, that whose text sorts first. Documents without an id can't be told apart and stay.
+    Rows equal in id and text are one document, and one of them stays. Rows of one id with different texts, and rows without an id,
+    are documents of their own, which count as later than all others. Documents without words are linked with nothing.
     """
-    stay = minhash.groups(docs, words=5, percent=80).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    known = docs.join(stay, docs["doc_id"] == stay["kept_id"], "left_semi")
-    one = known.select(F.struct(*docs.columns).alias("row"), F.row_number().over(first).alias("turn")).where("turn = 1")
-    return one.select("row.*").unionByName(docs.where("doc_id IS NULL"))
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", text_hash.alias("hash"))
+    ids = docs.select("doc_id", text_hash.alias("hash")).groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high"))
+    shared = ids.where("doc_id IS NULL OR low <> high").select(F.col("doc_id").alias("id"), F.lit(True).alias("shared"))
+    number = F.col("doc_id").cast("long")
+    if not shared.isEmpty():  # else the texts need not be shuffled for it
+        rows = rows.join(shared, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+        own = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "hash").bitwiseAND((1 << 61) - 1).bitwiseOR(1 << 62)
+        number = F.when(F.col("shared"), own).otherwise(number)
+    rows = rows.select("row", "text", number.alias("number"))
+    groups = minhash.groups(rows.select(F.col("number").alias("doc_id"), "text"), words=5, percent=80)
+    stay = groups.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    first = Window.partitionBy("number").orderBy("number")
+    known = rows.join(stay, rows["number"] == stay["kept_id"], "left_semi")
+    return known.select("row", F.row_number().over(first).alias("turn")).where("turn = 1").select("row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
