@@ -27,7 +27,7 @@ from haulage.session import scratch
 
 SIZE, OPEN, END_ID = 4096, 32, 2
 #: Stretches and words a worker remembers before it starts its memory anew. It affects time only.
-ENTRIES_KEPT = 350_000
+ENTRIES_KEPT = 500_000
 #: Text bytes encoded at once: the more, the more often a stretch occurs among them.
 SLICE = 4 << 20
 #: Bytes of ids in one batch of a task's output.
@@ -75,6 +75,13 @@ class WordIds:
         self.number: dict[str, int] = {"": 0}
         self.flat, self.first = np.zeros(0, "<u4"), np.zeros(2, np.int64)
 
+    def _keep(self, names: list[str]) -> None:
+        """Forget all but these: what the texts at hand use is what the next ones use most."""
+        known = [(s, n) for s in names if s and (n := self.number.get(s)) is not None]
+        ids, sizes = self._gathered(np.array([n for _, n in known], np.int64))
+        self._forget()
+        self._add([s for s, _ in known], ids, sizes)
+
     def _short(self, text: str) -> bool:
         return self.usual and vocabulary.plain(text) and not ("<|" in text and self.special and self.special.search(text))
 
@@ -117,11 +124,13 @@ class WordIds:
         coded = split.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         if len(self.number) > ENTRIES_KEPT:
-            self._forget()
-        new = [s for s in names if s not in self.number]
+            self._keep(names)
+        number = list(map(self.number.get, names))
+        new = [s for s, n in zip(names, number) if n is None]
         if new:
             self._learn(new)
-        number = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+            number = [self.number[s] if n is None else n for s, n in zip(names, number)]
+        number = np.array(number, np.int64)
         ids, sizes = self._gathered(number[coded.indices.to_numpy()])
         starts = np.concatenate([[0], np.cumsum(sizes)])[split.offsets.to_numpy() - split.offsets[0].as_py()] * 4
         data = ids.tobytes()
