@@ -184,7 +184,7 @@ def rule_counts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
             for _ in range(2 if number == 0 else 1):
                 refresh.clean_batch(lake, step, batch, number)
 
-        rows = bronze.table_stream(spark, lake.table(step.source), max_files=1)
+        rows = bronze.table_stream(spark, lake.table(step.source), max_files=4)
         bronze.finish(bronze.each_batch(rows, lake.checkpoint(step.target), attempts))
     return plain(rules.totals(refresh.ledger(spark, lake)))
 
