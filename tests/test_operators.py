@@ -66,18 +66,48 @@ def test_salted_join_gives_the_pairs_of_the_plain_join(spark):
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
 
 
-@pytest.mark.parametrize("slices", [2, 7])
-def test_number_within_equals_the_window_and_cuts_the_hot_group(spark, slices):
+def numbered(df, keys, order):
+    w = Window.partitionBy(*keys)
+    return df.withColumn("indice", F.row_number().over(w.orderBy(*order)).cast("bigint")).withColumn("total", F.count("*").over(w))
+
+
+def same_rows(got, want):
+    return got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+@pytest.mark.parametrize("most", [20, 150, 100_000])
+def test_number_within_equals_the_window_whatever_the_cut(spark, most):
     df = skewed(spark).withColumn("t", F.col("v") % 50)
-    got = skew.number_within(df, ["k"], ["t", "v"], slices=slices)
-    w = Window.partitionBy("k")
-    want = df.withColumn("indice", F.row_number().over(w.orderBy("t", "v")).cast("bigint")).withColumn("total", F.count("*").over(w))
-    assert got.count() == 6000 and got.select("k", "v", "indice", "total").exceptAll(want.select("k", "v", "indice", "total")).isEmpty()
+    assert same_rows(skew.number_within(df, ["k"], ["t", "v"], most=most), numbered(df, ["k"], ["t", "v"]))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
+def test_number_within_by_times_with_gaps_outliers_and_one_crowded_moment(spark, kind):
+    moment = F.when(F.col("v") < 900, F.lit(1_750_000_000)).when(F.col("v") < 950, F.lit(None)).otherwise(F.col("v") * 7919 % 9973 + 1_700_000_000)
+    far = F.when(F.col("v") == 5999, F.lit(253_000_000_000)).otherwise(moment)
+    df = spark.range(6000).select(F.lit("a").alias("k"), F.lit(None).cast("int").alias("l"), F.col("id").alias("v"))
+    df = df.withColumn("t", F.timestamp_seconds(far).cast(kind)).union(df.limit(7).select(F.lit("b"), F.lit(1), "v", F.lit(None).cast(kind)))
+    assert same_rows(skew.number_within(df, ["k", "l"], ["t", "v"], most=100), numbered(df, ["k", "l"], ["t", "v"]))
+
+
+def test_number_within_sorts_no_large_range_and_copies_nothing(spark, tmp_path):
+    df = skewed(spark).withColumn("t", F.when(F.col("v") < 2500, F.lit(3)).otherwise(F.col("v")))
+    got = skew.number_within(df, ["k"], ["t", "v"], most=100)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "Range (0, 6000" in plan  # the rows come from the input itself
+    reach = got.where("k = 7").select("indice", F.spark_partition_id().alias("p"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert reach.select("p").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_number_within_keeps_null_keys(spark, rows):
+def test_number_within_keeps_null_keys_and_empty_input(spark, rows):
     df = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "k int, v int")
-    assert rows(skew.number_within(df, ["k"], ["v"], slices=3)) == [(1, 5, 1, 1), (None, 1, 1, 2), (None, 2, 2, 2)]
+    for most in (1, 100):
+        assert rows(skew.number_within(df, ["k"], ["v"], most=most)) == [(1, 5, 1, 1), (None, 1, 1, 2), (None, 2, 2, 2)]
+        assert skew.number_within(df.limit(0), ["k"], ["v"], most=most).isEmpty()
 
 
 def test_sized_broadcasts_only_what_it_counted(spark):
@@ -149,5 +179,5 @@ def test_interpolated_positions(spark, rows):
         [(1, 0.0, 0.0, 10.0, 20.0), (2, 5.0, 5.0, 9.0, 9.0)],
         "id_carga int, lat_origem double, long_origem double, lat_destino double, long_destino double",
     )
-    got = rows(positions.interpolated(events, ends, ["t", "n"], slices=3), "n", "indice", "lat_estimada", "long_estimada")
+    got = rows(positions.interpolated(events, ends, ["t", "n"], most=3), "n", "indice", "lat_estimada", "long_estimada")
     assert got == [("a", 1, 0.0, 0.0), ("b", 2, 5.0, 10.0), ("c", 3, 10.0, 20.0), ("x", 1, 5.0, 5.0)]
