@@ -133,8 +133,8 @@ class WordEncoder:
             else:
                 next_b, b = made_b, self.left[b]
 
-    def _last(self, path: str, states: list[int], ended: bool) -> int:
-        """The last token of the encoding of `path`, given those of its shorter prefixes (states[i]: of path[:i])."""
+    def _last(self, path: list[str], states: list[int], ended: bool) -> int:
+        """The last token of the encoding of the letters `path`, given those of its shorter prefixes (states[i]: of path[:i])."""
         node, start, found = self.final if ended or not self.end else self.inner, len(path), []
         while start:
             start -= 1
@@ -146,20 +146,22 @@ class WordEncoder:
         for start, token in reversed(found):
             if start == 0 or self._neighbours(states[start], token):
                 return token
-        raise ValueError(f"no token ends {path!r}: the vocabulary lacks a symbol")
+        raise ValueError(f"no token ends {''.join(path[-20:])!r}: the vocabulary lacks a symbol")
 
     def encode(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Each distinct word with its ids, in the order of the trie."""
         trie = Trie()
         for word in words:
             trie.add(word)
+        # `path` holds the letters down to the node at hand, `states` their last tokens: one of each for the whole walk
+        path: list[str] = []
         states = [0]
-        stack = [("", trie.root)]
+        stack = [(0, "", trie.root)]
         while stack:
-            path, node = stack.pop()
-            depth = len(path)
+            depth, letter, node = stack.pop()
             if depth:
-                del states[depth:]
+                del path[depth - 1 :], states[depth:]
+                path.append(letter)
                 if len(node) > ("" in node):
                     states.append(self._last(path, states, False))
             if "" in node and depth:
@@ -170,8 +172,8 @@ class WordEncoder:
                     found.append(token)
                     at -= self._length(token)
                 found.reverse()
-                yield path, found
-            stack.extend((path + letter, below) for letter, below in node.items() if letter)
+                yield "".join(path), found
+            stack.extend((depth + 1, below, nxt) for below, nxt in node.items() if below)
 
     def _length(self, token: int) -> int:
         text = self.texts[token]

@@ -49,6 +49,22 @@ def test_byte_level_ids_are_those_of_the_library(text):
     assert np.frombuffer(made, encoder.kind).tolist() == encoder.library.encode(text, add_special_tokens=False).ids
 
 
+def test_long_words_take_time_in_proportion():
+    import random
+    import time
+
+    draw, encoder = random.Random(5), bpe.encoder(WORD)
+    took = {}
+    for size in (50_000, 400_000):
+        text = "".join(draw.choices("abcdeilnorst", k=size))
+        start = time.process_time()
+        (found, _), = encoder.encode_slice([text])
+        took[size] = time.process_time() - start
+        assert np.frombuffer(found, "<u4").tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+    encoder.forget()
+    assert took[400_000] < 24 * max(took[50_000], 0.05)  # 8 times the letters; a square would be 64
+
+
 def test_digests_of_odd_rows(odd, word):
     found = sorted(tuple(r) for r in bpe.digests(odd.where("doc_id IS NOT NULL"), WORD).collect())
     want = []
