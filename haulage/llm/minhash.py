@@ -14,14 +14,15 @@ is too far from the centre, these members and those at the edge meet again under
 as wide as the bits of two linked sets can differ, so one of them never stays behind without the other. What a few rounds leave of
 a bucket is settled by the same steps inside tasks, on the bits, in cells in which any two members meet.
 
-The documents of a centre meet in tasks, in cells of at most two blocks: each is compared with the centre on the full sets, and
-those not linked to it with all others of the cell, by counting common shingles. A cell sends only the links of a spanning forest.
+The documents of a centre are compared with it on the full sets, block by block, so each text goes out once for a centre. Those not
+linked to it are then compared with all others of the group, by counting common shingles: at once where the group is one block,
+else in cells of two blocks, one of them of such loose members. A cell sends only the links of a spanning forest.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 from haulage.llm import batches, spans
 from haulage.llm.components import components
+from haulage.operators.skew import HOT_SHARE
 from haulage.session import scratch
 
 #: Chance that a pair at the threshold shares no band.
@@ -163,9 +165,14 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _forest(centre: int | None, ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of one cell: first those to the centre, then among the rest and with the others."""
-    links, above = [], list(range(len(ids)))
+def _forest(ids: list[int], sets: list[np.ndarray], percent: int, loose: list[int], tied: list[int]) -> list[tuple[int, int]]:
+    """Links of a spanning forest among the sets of one cell, where `loose` ones are compared with all; `tied` ones are connected already."""
+    links: list[tuple[int, int]] = []
+    if not loose or len(ids) < 2:
+        return links
+    above = list(range(len(ids)))
+    for i in tied:
+        above[i] = tied[0]
 
     def top(i: int) -> int:
         while above[i] != i:
@@ -173,16 +180,6 @@ def _forest(centre: int | None, ids: list[int], sets: list[np.ndarray], percent:
             i = above[i]
         return i
 
-    loose = list(range(len(ids)))
-    if centre is not None:
-        near = [i for i in loose if i != centre and linked(sets[centre], sets[i], percent)]
-        links += [(ids[centre], ids[i]) for i in near]
-        for i in near:
-            above[i] = centre
-        tied = {centre, *near}
-        loose = [i for i in loose if i not in tied]
-    if not loose or len(ids) < 2:
-        return links
     sizes = np.array([len(s) for s in sets], np.int64)
     column = np.unique(np.concatenate(sets), return_inverse=True)[1]
     row = np.repeat(np.arange(len(sets)), sizes)
@@ -202,8 +199,6 @@ def _forest(centre: int | None, ids: list[int], sets: list[np.ndarray], percent:
     common = common.astype(np.int64)
     good = 100 * common >= percent * (sizes[loose_at][:, None] + sizes[None, :] - common)
     good[np.arange(len(loose)), loose_at] = False
-    if centre is not None:
-        good[:, centre] = False
     for i, j in zip(*np.nonzero(good)):
         a, b = top(int(loose_at[i])), top(int(j))
         if a != b:
@@ -212,32 +207,64 @@ def _forest(centre: int | None, ids: list[int], sets: list[np.ndarray], percent:
     return links
 
 
-def _verified(words: int, percent: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("loose", pa.bool_())])
+LINKS = "a long, b long, loose boolean"
+
+
+def _cell_by_cell(words: int, answer: Callable[[int, list[int], list[np.ndarray], list[bool]], list[tuple[int, int, bool]]]):
+    """Rows that come cell by cell, as (centre, cell, doc, mark, text): `answer` gets the centre, and ids, sets and marks of one cell."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(words)
-        now, ids, own = None, [], []
+        now: tuple[int, int] | None = None
+        ids, own, marks = [], [], []
 
         def done() -> pa.RecordBatch:
-            centre = ids.index(now[0]) if now[0] in ids else None
-            links = _forest(centre, ids, own, percent)
-            return batches.rows(schema, a=[x for x, _ in links], b=[y for _, y in links])
+            rows = answer(now[0], ids, own, marks)
+            return batches.rows(LINK, **{n: [r[k] for r in rows] for k, n in enumerate(LINK.names)})
 
         for batch in incoming:
-            for centre, cell, doc, text in zip(*(batch.column(c).to_pylist() for c in ("centre", "cell", "doc", "text"))):
+            for centre, cell, doc, mark, text in zip(*(batch.column(c).to_pylist() for c in ("centre", "cell", "doc", "mark", "text"))):
                 if (centre, cell) != now:
                     if now is not None:
                         yield done()
-                    now, ids, own = (centre, cell), [], []
+                    now, ids, own, marks = (centre, cell), [], [], []
                 ids.append(doc)
                 own.append(sets.of(text.encode()))
+                marks.append(mark)
         if now is not None:
             yield done()
 
     return run
 
 
+def _starred(percent: int):
+    """Links of a block's members to the centre. Where the block is all of the group (mark), also those among the rest; else the
+    members with a text that is not linked to the centre come as loose."""
+
+    def answer(centre: int, ids: list[int], sets: list[np.ndarray], marks: list[bool]) -> list[tuple[int, int, bool]]:
+        at = ids.index(centre)
+        near = [i for i in range(len(ids)) if i != at and linked(sets[at], sets[i], percent)]
+        tied = {at, *near}
+        rest = [i for i in range(len(ids)) if i not in tied]
+        found = [(centre, ids[i], False) for i in near]
+        if marks[at]:
+            return found + [(a, b, False) for a, b in _forest(ids, sets, percent, rest, [at, *near])]
+        return found + [(centre, ids[i], True) for i in rest]
+
+    return answer
+
+
+def _met(percent: int):
+    """Links of the loose members (mark) of a cell to all in it."""
+
+    def answer(centre: int, ids: list[int], sets: list[np.ndarray], marks: list[bool]) -> list[tuple[int, int, bool]]:
+        tied = [i for i, mark in enumerate(marks) if not mark]
+        return [(a, b, False) for a, b in _forest(ids, sets, percent, [i for i, mark in enumerate(marks) if mark], tied)]
+
+    return answer
+
+
 def _judged(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """(centre, doc, apart): in how many bits the two differ; a written table."""
     both = pairs.join(bits, "doc").join(bits.select(F.col("doc").alias("centre"), F.col("bits").alias("centre_bits")), "centre")
@@ -345,17 +372,47 @@ def candidates(known: DataFrame, percent: int) -> DataFrame:
     return found
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """(centre, doc, cell, mark): each member once, with the centre in each block; `mark` where the one block is the whole group."""
+    blocks = members.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mark = (F.col("blocks") == 1).alias("mark")
+    dealt = members.join(blocks, "centre").select("centre", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("long").alias("cell"), mark)
+    central = blocks.select("centre", F.col("centre").alias("doc"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("cell"), mark)
+    return dealt.unionByName(central)
+
+
+def _meetings(stars: DataFrame, loose: DataFrame) -> DataFrame:
+    """(centre, doc, cell, mark): loose members (mark) in cells with every block of their group, the others only with the loose ones."""
+    own = loose.select("centre", "doc", F.lit(True).alias("mark")).distinct()
+    large = stars.where("NOT mark").select("centre", "doc").distinct()
+    marked = large.join(own, ["centre", "doc"], "left").withColumn("mark", F.coalesce("mark", F.lit(False)))
+    count = lambda of: F.ceil(F.count_if(of) / BLOCK)
+    sizes = marked.groupBy("centre").agg(count(F.col("mark")).alias("own"), count(~F.col("mark")).alias("others")).where("own > 0")
+    spread = F.xxhash64("doc")
+    block = F.when(F.col("mark"), F.pmod(spread, F.col("own"))).otherwise(F.col("own") + F.pmod(spread, F.greatest("others", F.lit(1))))
+    last = F.when(F.col("mark"), F.col("own") + F.col("others")).otherwise(F.col("own")) - 1
+    dealt = marked.join(sizes, "centre").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    cell = F.least("block", "other") * (F.col("own") + F.col("others")) + F.greatest("block", "other")
+    return dealt.select("centre", "doc", cell.alias("cell"), "mark")
+
+
 def links(docs: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links that connect the classes of `known` sketches (one row per class, doc being its id) as all true links would."""
-    spark = docs.sparkSession
-    cells = _cells(candidates(known, percent), "centre")
-    central = cells.select("centre", "cell").distinct().select("centre", F.col("centre").alias("doc"), "cell")
-    texts = spans.keyed(docs).select("doc", "text")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # always by shuffle: what is compared grows with the texts, so it would outgrow a broadcast
-    full = cells.unionByName(central).join(texts.hint("merge"), "doc").select("centre", "cell", "doc", "text")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    arranged = full.repartition(parts, "centre", "cell").sortWithinPartitions("centre", "cell", "doc")
-    return arranged.mapInArrow(_verified(words, percent), "a long, b long")
+    texts = spans.keyed(docs).select("doc", "text").hint("merge")
+
+    def compared(cells: DataFrame, answer) -> DataFrame:
+        full = cells.join(texts, "doc").select("centre", "cell", "doc", "mark", "text")
+        arranged = full.repartition(parts, "centre", "cell").sortWithinPartitions("centre", "cell", "doc")
+        return _written(arranged.mapInArrow(_cell_by_cell(words, answer), LINKS), "linked")
+
+    stars = _stars(candidates(known, percent))
+    first = compared(stars, _starred(percent))
+    found, loose = first.where("NOT loose").select("a", "b"), first.where("loose").select(F.col("a").alias("centre"), F.col("b").alias("doc"))
+    if loose.isEmpty():
+        return found
+    return found.unionByName(compared(_meetings(stars, loose), _met(percent)).select("a", "b"))
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -372,19 +429,25 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     spans.keyed(docs).select("doc", "text").mapInArrow(_sketched(words, bands, rows_for(percent)), SKETCH).write.parquet(folder)
     rows = spark.read.schema(SKETCH).parquet(folder)
     sets = rows.where("n_shingles > 0")
-    classes = sets.groupBy("one", "two").agg(F.min("doc").alias("class"))
-    known = sets.join(classes, ["one", "two"]).where(F.col("doc") == F.col("class")).select("doc", "one", "two", "bands", "bits")
+    classes = _written(sets.groupBy("one", "two").agg(F.min("doc").alias("class"), F.count("*").alias("members")), "classes")
+    # by the id too: the rows of a class with very many copies go to many tasks
+    known = sets.join(classes.select(F.col("class").alias("doc"), "one", "two"), ["doc", "one", "two"]).select("doc", "one", "two", "bands", "bits")
     found = links(docs, known.dropDuplicates(["doc", "one", "two"]), words, percent)
-    twins = sets.join(classes, ["one", "two"])
     # an id with several texts links the classes of its texts
-    several = twins.groupBy("doc").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    more = twins.join(several.select("doc"), "doc").select(F.col("doc").alias("a"), F.col("class").alias("b"))
+    ends = [f(c).alias(n) for c in ("one", "two") for f, n in ((F.min, f"{c}_low"), (F.max, f"{c}_high"))]
+    several = sets.groupBy("doc").agg(*ends).where("one_low <> one_high OR two_low <> two_high").select("doc")
+    more = sets.join(several, "doc").select("doc", "one", "two").join(classes, ["one", "two"]).select(F.col("doc").alias("a"), F.col("class").alias("b"))
     reached = components(found.unionByName(more))
-    named = rows.select("doc", "n_shingles", "one", "two").join(classes, ["one", "two"], "left")
-    named = named.withColumn("class", F.when(F.col("n_shingles") > 0, F.col("class")).otherwise(F.col("doc")))
-    whole = named.join(reached.select(F.col("id").alias("class"), "component"), "class", "left")
-    component = F.coalesce("component", "class")
-    back = lambda c: F.when(c != spans.NO_ID, c)
+    joined = classes.join(reached.select(F.col("id").alias("class"), "component"), "class", "left")
+    named = _written(joined.select("one", "two", "members", F.coalesce("component", "class").alias("component")), "named")
+    # classes above this share of the rows are fewer than 1 / HOT_SHARE, so they can be broadcast
+    large = named.where(F.col("members") > F.lit(rows.count() * HOT_SHARE)).drop("members")
+    own = sets.select("doc", "n_shingles", "one", "two")
+    of_large = own.join(F.broadcast(large), ["one", "two"])
+    of_small = own.join(F.broadcast(large.select("one", "two")), ["one", "two"], "left_anti").join(named.drop("members"), ["one", "two"])
+    bare = rows.where("n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component"))
+    whole = of_large.unionByName(of_small).drop("one", "two").unionByName(bare)
+    back = lambda c: F.when(F.col(c) != spans.NO_ID, F.col(c))
     return whole.select(
-        back(F.col("doc")).alias("doc_id"), "n_shingles", back(component).alias("component_id"), (F.col("doc") == component).alias("kept")
+        back("doc").alias("doc_id"), "n_shingles", back("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept")
     )

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from haulage.llm import anchors, minhash, prints, repeats, spans
 from haulage.llm.components import components
@@ -153,8 +154,9 @@ def _exact(rows, words, percent):
     return sorted((i, len(sets[i]), top(i), top(i) == i) for i in ids)
 
 
-@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
-def test_groups_are_those_of_all_pairs(spark, small, texts, words, percent):
+@pytest.mark.parametrize("words, percent, block", [(3, 85, 512), (5, 80, 512), (5, 80, 7)])
+def test_groups_are_those_of_all_pairs(spark, small, texts, words, percent, block, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(11)
     base = prose(77, 150).split()
     rows = list(texts)
@@ -167,6 +169,30 @@ def test_groups_are_those_of_all_pairs(spark, small, texts, words, percent):
     assert sorted(tuple(r) for r in found.collect()) == _exact(rows, words, percent)
 
 
+def test_texts_go_out_once_for_a_centre(spark):
+    """Members that are linked to the centre meet nobody else; a loose one meets all, and no two others meet for it."""
+    members = spark.range(1, 4000).select(F.lit(0).cast("long").alias("centre"), F.col("id").alias("doc"))
+    stars = minhash._stars(members).cache()
+    assert stars.count() == 3999 + 8 and not stars.where("mark").count()
+    loose = members.where("doc % 2000 = 7")
+    assert not minhash._meetings(stars, loose.limit(0)).count()
+    met = minhash._meetings(stars, loose).cache()
+    assert met.count() == 2 * 9 + 3998
+    pairs = met.where("mark").alias("x").join(met.alias("y"), "cell").select("x.doc", F.col("y.doc").alias("other")).distinct()
+    assert pairs.count() == 2 * 4000
+    every = minhash._meetings(stars, members)
+    assert every.count() == 3999 * 9 + 8 and every.where("doc = 0 AND NOT mark").count() == 8
+
+
+def test_copies_by_the_thousand_and_ids_with_several_texts(spark):
+    one, two, three = prose(31, 60), prose(32, 60), prose(33, 60)
+    rows = [(i, one) for i in range(100, 3100)] + [(i, "") for i in range(5000, 6000)] + [(7000, two), (7001, two), (7001, three), (7002, three), (7002, three)]
+    found = minhash.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 5, 80).distinct().collect()
+    parts = {(r.doc_id, r.component_id, r.kept) for r in found}
+    want = {(i, 100, i == 100) for i in range(100, 3100)} | {(i, i, True) for i in range(5000, 6000)}
+    assert parts == want | {(i, 7000, i == 7000) for i in (7000, 7001, 7002)}
+
+
 def test_groups_where_the_smallest_of_each_bucket_is_a_stranger(spark, monkeypatch):
     """Bands of one row: strangers with smaller ids share nearly every bucket of two near copies, a dozen of them each."""
     monkeypatch.setattr(minhash, "rows_for", lambda percent: 1)
