@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from haulage.llm import batches, spans
 from haulage.llm.components import components
+from haulage.operators.lookup import sized
 from haulage.operators.skew import HOT_SHARE
 from haulage.session import scratch
 
@@ -207,31 +209,44 @@ def _forest(ids: list[int], sets: list[np.ndarray], percent: int, loose: list[in
     return links
 
 
-LINK = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("loose", pa.bool_())])
-LINKS = "a long, b long, loose boolean"
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("loose", pa.bool_()), ("text", pa.string())])
+LINKS = "a long, b long, loose boolean, text string"
+Row = tuple[int, int, bool, str | None]
 
 
-def _cell_by_cell(words: int, answer: Callable[[int, list[int], list[np.ndarray], list[bool]], list[tuple[int, int, bool]]]):
-    """Rows that come cell by cell, as (centre, cell, doc, mark, text): `answer` gets the centre, and ids, sets and marks of one cell."""
+@dataclass
+class Cell:
+    """Rows of one cell of a centre: ids, sets, marks and texts."""
+
+    centre: int
+    number: int
+    ids: list[int] = field(default_factory=list)
+    sets: list[np.ndarray] = field(default_factory=list)
+    marks: list[bool] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+
+
+def _cell_by_cell(words: int, answer: Callable[[Cell], list[Row]]):
+    """Answers for rows that come cell by cell, as (centre, cell, doc, mark, text)."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Sets(words)
-        now: tuple[int, int] | None = None
-        ids, own, marks = [], [], []
+        now: Cell | None = None
 
         def done() -> pa.RecordBatch:
-            rows = answer(now[0], ids, own, marks)
+            rows = answer(now)
             return batches.rows(LINK, **{n: [r[k] for r in rows] for k, n in enumerate(LINK.names)})
 
         for batch in incoming:
             for centre, cell, doc, mark, text in zip(*(batch.column(c).to_pylist() for c in ("centre", "cell", "doc", "mark", "text"))):
-                if (centre, cell) != now:
+                if now is None or (centre, cell) != (now.centre, now.number):
                     if now is not None:
                         yield done()
-                    now, ids, own, marks = (centre, cell), [], [], []
-                ids.append(doc)
-                own.append(sets.of(text.encode()))
-                marks.append(mark)
+                    now = Cell(centre, cell)
+                now.ids.append(doc)
+                now.sets.append(sets.of(text.encode()))
+                now.marks.append(mark)
+                now.texts.append(text)
         if now is not None:
             yield done()
 
@@ -239,18 +254,22 @@ def _cell_by_cell(words: int, answer: Callable[[int, list[int], list[np.ndarray]
 
 
 def _starred(percent: int):
-    """Links of a block's members to the centre. Where the block is all of the group (mark), also those among the rest; else the
-    members with a text that is not linked to the centre come as loose."""
+    """Links of a block's members to the centre, and where the block is all of the group (mark) those among the rest.
+
+    The members of larger groups come with their texts, loose where that text is not linked to the centre; the centre comes once.
+    """
 
-    def answer(centre: int, ids: list[int], sets: list[np.ndarray], marks: list[bool]) -> list[tuple[int, int, bool]]:
-        at = ids.index(centre)
+    def answer(cell: Cell) -> list[Row]:
+        ids, sets = cell.ids, cell.sets
+        at = ids.index(cell.centre)
         near = [i for i in range(len(ids)) if i != at and linked(sets[at], sets[i], percent)]
         tied = {at, *near}
         rest = [i for i in range(len(ids)) if i not in tied]
-        found = [(centre, ids[i], False) for i in near]
-        if marks[at]:
-            return found + [(a, b, False) for a, b in _forest(ids, sets, percent, rest, [at, *near])]
-        return found + [(centre, ids[i], True) for i in rest]
+        if cell.marks[at]:
+            among = _forest(ids, sets, percent, rest, [at, *near])
+            return [(cell.centre, ids[i], False, None) for i in near] + [(a, b, False, None) for a, b in among]
+        out = near if cell.number else [at, *near]
+        return [(cell.centre, ids[i], False, cell.texts[i]) for i in out] + [(cell.centre, ids[i], True, cell.texts[i]) for i in rest]
 
     return answer
 
@@ -258,9 +277,9 @@ def _starred(percent: int):
 def _met(percent: int):
     """Links of the loose members (mark) of a cell to all in it."""
 
-    def answer(centre: int, ids: list[int], sets: list[np.ndarray], marks: list[bool]) -> list[tuple[int, int, bool]]:
-        tied = [i for i, mark in enumerate(marks) if not mark]
-        return [(a, b, False) for a, b in _forest(ids, sets, percent, [i for i, mark in enumerate(marks) if mark], tied)]
+    def answer(cell: Cell) -> list[Row]:
+        loose, tied = ([i for i, mark in enumerate(cell.marks) if mark == kind] for kind in (True, False))
+        return [(a, b, False, None) for a, b in _forest(cell.ids, cell.sets, percent, loose, tied)]
 
     return answer
 
@@ -381,38 +400,38 @@ def _stars(members: DataFrame) -> DataFrame:
     return dealt.unionByName(central)
 
 
-def _meetings(stars: DataFrame, loose: DataFrame) -> DataFrame:
-    """(centre, doc, cell, mark): loose members (mark) in cells with every block of their group, the others only with the loose ones."""
-    own = loose.select("centre", "doc", F.lit(True).alias("mark")).distinct()
-    large = stars.where("NOT mark").select("centre", "doc").distinct()
-    marked = large.join(own, ["centre", "doc"], "left").withColumn("mark", F.coalesce("mark", F.lit(False)))
+def _meetings(members: DataFrame) -> DataFrame:
+    """(centre, cell, doc, mark, text) of (centre, doc, mark, text): loose members (mark) in cells with every block of their group, the
+    others only with the loose ones, and nobody where no member is loose."""
     count = lambda of: F.ceil(F.count_if(of) / BLOCK)
-    sizes = marked.groupBy("centre").agg(count(F.col("mark")).alias("own"), count(~F.col("mark")).alias("others")).where("own > 0")
+    sizes = members.groupBy("centre").agg(count(F.col("mark")).alias("own"), count(~F.col("mark")).alias("others")).where("own > 0")
     spread = F.xxhash64("doc")
     block = F.when(F.col("mark"), F.pmod(spread, F.col("own"))).otherwise(F.col("own") + F.pmod(spread, F.greatest("others", F.lit(1))))
     last = F.when(F.col("mark"), F.col("own") + F.col("others")).otherwise(F.col("own")) - 1
-    dealt = marked.join(sizes, "centre").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    dealt = members.join(sized(sizes), "centre").withColumn("block", block)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     cell = F.least("block", "other") * (F.col("own") + F.col("others")) + F.greatest("block", "other")
-    return dealt.select("centre", "doc", cell.alias("cell"), "mark")
+    return dealt.select("centre", cell.alias("cell"), "doc", "mark", "text")
 
 
 def links(docs: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links that connect the classes of `known` sketches (one row per class, doc being its id) as all true links would."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # always by shuffle: what is compared grows with the texts, so it would outgrow a broadcast
-    texts = spans.keyed(docs).select("doc", "text").hint("merge")
 
-    def compared(cells: DataFrame, answer) -> DataFrame:
-        full = cells.join(texts, "doc").select("centre", "cell", "doc", "mark", "text")
+    def compared(full: DataFrame, answer: Callable[[Cell], list[Row]]) -> DataFrame:
         arranged = full.repartition(parts, "centre", "cell").sortWithinPartitions("centre", "cell", "doc")
         return _written(arranged.mapInArrow(_cell_by_cell(words, answer), LINKS), "linked")
 
-    stars = _stars(candidates(known, percent))
+    # always by shuffle: what is compared grows with the texts, so it would outgrow a broadcast
+    texts = spans.keyed(docs).select("doc", "text").hint("merge")
+    stars = _stars(candidates(known, percent)).join(texts, "doc").select("centre", "cell", "doc", "mark", "text")
     first = compared(stars, _starred(percent))
-    found, loose = first.where("NOT loose").select("a", "b"), first.where("loose").select(F.col("a").alias("centre"), F.col("b").alias("doc"))
-    if loose.isEmpty():
+    found = first.where("NOT loose").select("a", "b")
+    if first.where("loose").isEmpty():
         return found
-    return found.unionByName(compared(_meetings(stars, loose), _met(percent)).select("a", "b"))
+    # the texts of large groups are at hand, so those of the corpus need not be shuffled again
+    members = first.where("text IS NOT NULL").select(F.col("a").alias("centre"), F.col("b").alias("doc"), F.col("loose").alias("mark"), "text")
+    return found.unionByName(compared(_meetings(members), _met(percent)).select("a", "b"))
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
