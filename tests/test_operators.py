@@ -156,6 +156,25 @@ def test_nesting_keeps_every_item_whatever_the_limits(spark, rows, limits):
         assert nested.filter("id_pedido = 1").count() > 1
 
 
+@pytest.mark.parametrize("limits", [{}, {"items_per_invoice": 4}, {"items_per_invoice": 2, "invoices_per_document": 3}])
+def test_items_that_name_their_order_meet_their_invoices_by_it(spark, rows, limits):
+    orders, items, _ = documents(spark)
+    orders = orders.unionByName(spark.createDataFrame([(None, 1.0, 1.0)], ORDER_DDL))
+    invoices = spark.createDataFrame(
+        [(n, "000001", 1 if n < 9 else 3, "2025-01-01 00:00:00", 1.0, "k") for n in range(11)] + [(None, "0", 3, "d", 1.0, "k"), (5, "0", None, "d", 1.0, "k")],
+        INVOICE_DDL,
+    )
+    owned = items.withColumn("id_pedido", F.when(F.col("id_nf") < 9, 1).otherwise(3).cast("bigint"))
+    nested = nesting.nest_orders(orders, invoices, owned, **limits)
+    plan = nested._jdf.queryExecution().executedPlan().toString()
+    assert limits or "hashpartitioning(id_nf" not in plan
+    flat = nesting.explode_items(nested, ["id_pedido"])
+    assert rows(flat, "id_item") == rows(items, "id_item")
+    assert rows(nesting.document_totals(nested)) == [(1, 135.0, 27.0), (3, 15.0, 3.0)]
+    empty = nested.select(F.explode("notas_fiscais").alias("nf")).where("nf.itens IS NULL")
+    assert rows(empty, "nf.id_nf") == [(10,), (None,)]
+
+
 def test_explode_skips_null_and_empty_lists(spark):
     ddl = "id_pedido bigint, notas_fiscais array<struct<id_nf: bigint, numero_nf: string, data_emissao: string, valor_total: double, itens: array<struct<id_item: bigint, descricao: string, ncm: string, quantidade: int, unidade: string, valor_unitario: double, valor_total: double, peso_kg: double, dimensoes: struct<comprimento_cm: double, largura_cm: double, altura_cm: double>>>>>"
     item = (1, "d", "n", 1, "UN", 1.0, 1.0, 1.0, (1.5, 2.0, 3.0))
