@@ -11,6 +11,7 @@ from haulage.plans import refresh
 from haulage.session import scratch, scratch_root
 from haulage.sources import landing, schemas
 from haulage.streaming import bronze, live, silver
+from haulage.streaming.seen import Seen, tagged
 from tests import logistics
 
 
@@ -178,6 +179,47 @@ def test_export_layouts_round_trip(spark, tmp_path, layout, rows):
         assert sum(len(json.load(open(f"{folder}/{f}", encoding="utf-8"))) for f in files) == 25
 
 
+@pytest.mark.parametrize("layout", landing.LAYOUTS)
+def test_whole_exports_are_compressed(spark, tmp_path, layout, rows):
+    df = spark.range(1200).select(F.col("id").alias("id_pedido"), F.lit("x").alias("tipo_frete"))
+    folder = f"{tmp_path}/out"
+    landing.write_orders(df.coalesce(1), folder, layout)
+    files = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    assert rows(landing.read_json(spark, folder, schemas.ORDER, layout), "id_pedido", "tipo_frete") == rows(df)
+
+
+def test_a_backlog_takes_as_many_batches_at_any_size(spark, tmp_path):
+    for files in (1, 20, 40):
+        folder = str(tmp_path / f"n{files}")
+        spark.range(400).repartition(files).write.parquet(f"{folder}/lote=0")
+        share = bronze.share_of_files(spark, folder, 8, 3)
+        assert share == max(3, -(-files // 8))
+
+
+def test_documents_that_come_once_are_not_shuffled(spark, tmp_path, rows):
+    known = Seen(str(tmp_path / "vistos"), ("k",), "k bigint")
+    table = str(tmp_path / "tabela")
+
+    def batch(*values):
+        return spark.createDataFrame(values, "k bigint, v string, arquivo_momento int").coalesce(1)
+
+    tags = tagged(batch((1, "a", 0), (None, "n", 0)), ("k",))
+    keyed = tags.where("_perto IS NOT NULL")
+    sizes = keyed.groupBy("_um", "_dois").agg(F.count(F.lit(1)).alias("_n"))
+    assert known._chosen(tags, tags, keyed, sizes, ["_um", "_dois"]) is tags
+    known.add(batch((1, "a", 0), (2, "a", 0), (2, "b", 1), (3, "a", 0), (None, "n", 0), (None, "n", 0)), 0, table)
+    # A replay, a correction that comes twice, an old and a new version of a new document, one that comes once, one without a key.
+    known.add(batch((1, "a", 2), (3, "c", 2), (3, "c", 3), (4, "a", 2), (4, "b", 3), (5, "a", 2), (None, "n", 2)), 1, table)
+    known.add(batch(*[(n, "a", 4) for n in range(6, 12)], (5, "a", 4)), 2, table)
+    known.add(batch((1, "a", 5), (5, "a", 5)), 3, table)
+    stored = spark.read.schema("k bigint, v string, lote int").parquet(table)
+    late = [(n, "a", 2) for n in range(6, 12)]
+    first = [(1, "a", 0), (2, "b", 0), (3, "a", 0), (None, "n", 0), (None, "n", 0)]
+    assert rows(stored) == rows(spark.createDataFrame([*first, (3, "c", 1), (4, "b", 1), (5, "a", 1), (None, "n", 1), *late], stored.schema))
+    assert rows(known.old.read(spark), "k", "origem") == [(3, 0)]
+
+
 def test_unknown_layout_is_refused(spark):
     with pytest.raises(ValueError):
         landing.read_options("csv")
