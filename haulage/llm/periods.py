@@ -107,7 +107,8 @@ class Suffixes:
 
     def _heads(self, pair: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Ranks of the first `width` values at the places `at`, from ranks of pairs."""
-        rank, room = pair[at], len(pair) + 1
+        _, rank = np.unique(pair[at], return_inverse=True)  # without gaps: the highest rank tells how many differ
+        room = len(pair) + 1
         for offset in [*range(2, self.width - 1, 2), *([self.width - 2] if self.width % 2 else [])]:
             there = at + offset
             more = np.where(there < self.ends[at], pair[np.minimum(there, len(pair) - 1)] + 1, 0)

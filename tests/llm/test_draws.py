@@ -60,6 +60,11 @@ def test_runs_over_few_letters(texts, least):
     assert runs_of(split, least) == [plain_runs(w, least) for w in split]
 
 
+def test_short_runs_beside_pairs_that_occur_once():
+    texts = [[c.encode() for c in t] for t in ("aab", "ababab")]
+    assert runs_of(texts, 4) == [[], [(0, 6, 2)]]
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_runs_of_repetitive_sequences(seed):
     rng = random.Random(seed)
