@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from haulage.catalogue import streams
 from haulage.operators import nesting
 from haulage.plans import refresh
 from haulage.session import scratch, scratch_root
@@ -165,6 +167,34 @@ def test_no_invoice_is_lost(spark, tmp_path, given):
     assert nesting.explode_items(nested, ["id_pedido"]).count() == 21_000
 
 
+def test_invoices_of_one_document_stay_where_they_are(spark, rows):
+    ddl = "id_nf long, numero_nf string, id_pedido long, data_emissao string, valor_total double, chave_acesso string, itens long, " \
+        "valor_itens decimal(38,4), peso_itens_kg decimal(38,4)"
+    whole = spark.sql("SELECT id, 'n', id, NULL, 1.5D, 'c', 2L, 3.25BD, NULL FROM range(6)").toDF(*[c.split()[0] for c in ddl.split(", ")])
+    found = nesting.invoices(whole.select([F.col(c.split()[0]).cast(c.split(" ", 1)[1]) for c in ddl.split(", ")]))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    parts = nesting.invoices(whole.unionByName(whole.where("id_nf = 4").withColumn("valor_itens", F.lit(1.0))))
+    assert rows(parts, "id_nf", "itens", "valor_itens", "peso_itens_kg") == [(i, 4 if i == 4 else 2, 4.25 if i == 4 else 3.25, None) for i in range(6)]
+
+
+def test_documents_land_without_a_shuffle(spark, tmp_path):
+    folder, frame = f"{tmp_path}/out", spark.range(100, numPartitions=3).select(F.col("id").alias("id_pedido"))
+    streams._land(frame, folder, 8)
+    files = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert 8 <= len(files) <= 16 and landing.read_json(spark, folder, schemas.ORDER, "lines").count() == 100
+    assert {int(f.split("-")[1]) for f in files} == {0, 1, 2}  # the tasks that read the rows write them
+
+
+def test_stored_documents_are_compressed_well(spark, tmp_path, given):
+    put(given.orders, "a", [order(1)])
+    lake, given = refresh.Lake(f"{tmp_path}/lake"), replace(given, invoices=None, status=None)
+    refresh.ingest(spark, lake, given)
+    refresh.clean(spark, lake, given, ["silver_notas_fiscais"])
+    for name in ("bronze_pedidos", "silver_notas_fiscais"):
+        files = [f for _, _, names in os.walk(lake.table(name)) for f in names if f.startswith("part-")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 @pytest.mark.parametrize("layout", landing.LAYOUTS)
 def test_export_layouts_round_trip(spark, tmp_path, layout, rows):
     df = spark.range(25).select(F.col("id").alias("id_carga"), F.lit(3).alias("id_status"), F.lit("2025-01-01").alias("timestamp"),
