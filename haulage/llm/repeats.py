@@ -26,8 +26,8 @@ from haulage.session import scratch
 
 LENGTH = 100
 SLICE = 4 << 20
-#: Bytes of neighbourhoods in one suffix array; a class of anchors is never split.
-BLOCK = 1 << 20
+#: Bytes of neighbourhoods in one suffix array, whose sorting takes about a hundred times as much; a class of anchors is never split.
+BLOCK = 1 << 18
 _SEGMENT, _ANCHOR = 9, 0
 _ONE, _TWO = spans.Rolling(0xA0761D6478BD642F), spans.Rolling(0xE7037ED1A0B428DB)
 _BYTES = batches.mix(np.arange(1, 257, dtype=np.uint64))
@@ -341,7 +341,12 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A character goes only if all its bytes are covered, so texts stay valid. A NULL text stays NULL.
     """
     shape = Shape(length)
-    rows = marked(docs, length, keep=docs.columns).select("text", "marks", "rest")
+    others = [c for c in docs.columns if c != "text"]  # the text itself goes once through the shuffles
+    absent = "__no_text"
+    while absent in docs.columns:
+        absent += "_"
+    given = docs.withColumn(absent, F.col("text").isNull())
+    rows = marked(given, length, keep=[*others, absent]).select("text", "marks", "rest")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches.slices(parts, most=SLICE):
@@ -358,6 +363,6 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("rest"), pa.array(texts, pa.string())], names=["rest", "cleaned"])
 
     made = rows.mapInArrow(run, StructType([rows.schema["rest"], StructField("cleaned", StringType())]))
-    kept = {c: F.col(f"rest.kept_{n}") for n, c in enumerate(docs.columns)}
-    kept["text"] = F.when(kept["text"].isNotNull(), F.col("cleaned"))
+    kept = {c: F.col(f"rest.kept_{n}") for n, c in enumerate(others)}
+    kept["text"] = F.when(~F.col(f"rest.kept_{len(others)}"), F.col("cleaned"))
     return made.select(*[kept[c].alias(c) for c in docs.columns])

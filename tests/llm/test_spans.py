@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from haulage.llm import anchors, minhash, prints, repeats, spans
+from haulage.llm import anchors, batches, minhash, prints, repeats, spans
 from haulage.llm.components import components
 from tests.llm.conftest import odd_rows, prose
 
@@ -109,6 +110,36 @@ def test_equal_rows_are_one_document(spark):
     assert [r.n_removed for r in anchors.removed(frame).collect()] == [0, 0]
 
 
+def test_cleaned_takes_each_text_once_and_keeps_the_rest(spark):
+    text = " ".join(map(str, range(100, 150)))
+    docs = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, text, "z"), (4, text, None)], "doc_id long, text string, source string")
+    shape = []
+    given, repeats.marked = repeats.marked, lambda *a, f=repeats.marked, **k: shape.append(f(*a, **k)) or shape[-1]
+    try:
+        made = sorted(tuple(r) for r in repeats.cleaned(docs).collect())
+    finally:
+        repeats.marked = given
+    assert made == [(1, None, "x"), (2, "", "y"), (3, text, "z"), (4, "", None)]
+    assert "string" not in [f.dataType.typeName() for f in shape[0].schema["rest"].dataType if f.name != "kept_1"]
+
+
+def test_memory_of_suffix_arrays_is_that_of_a_small_block():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(97, 123, 160).astype(np.uint8).tobytes() for _ in range(8000)]
+    n = 2 * len(texts)
+    batch = batches.rows(
+        spans.ROW, h=np.repeat(np.arange(len(texts)), 2), n=np.zeros(n, np.int64), doc=np.arange(n), at=np.zeros(n, np.int64),
+        kind=np.full(n, repeats._SEGMENT, np.int32), more=[t for t in texts for _ in range(2)],
+    )
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows for b in repeats._resolve(repeats.Shape(100))(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == len(texts) and peak < 60e6
+
+
 def test_cleaned_texts_stay_valid(spark):
     text = "é" * 200
     kept = [r.text for r in repeats.cleaned(spark.createDataFrame([(1, "a" + text), (2, "b" + text + "c")], "doc_id long, text string")).orderBy("doc_id").collect()]
