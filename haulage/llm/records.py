@@ -101,8 +101,13 @@ class TextEncoder:
         #: Only files that split this way take the short path.
         self.usual = spec.get("normalizer") is None and step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space")
         self.cut = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        largest = max([*self.library.get_vocab().values(), *self.specials.values()], default=0)
+        vocab = self.library.get_vocab()
+        largest = max([*vocab.values(), *self.specials.values()], default=0)
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
+        #: Whether a token begins with a space.
+        space = vocabulary.byte_letters()[ord(" ")]
+        self.opens = np.zeros(largest + 1, bool)
+        self.opens[[n for text, n in vocab.items() if text.startswith(space)]] = True
         self.ids: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -110,18 +115,19 @@ class TextEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Ids of pre-tokens not yet met. Those of one space and letters keep apart when written one after another, so the
-        library gets them as one text and says which ids belong to which word; the others go to it one by one."""
-        joined = [w for w in new if _APART.fullmatch(w)]
+        library gets them as one text; each begins at the one of its tokens that holds the space. The others go to it one by one."""
+        joined, single = [], []
+        for word in new:
+            (joined if _APART.fullmatch(word) else single).append(word)
+        width = self.kind.itemsize
         for i in range(0, len(joined), 20_000):
             some = joined[i : i + 20_000]
-            made = self.library.encode("".join(some), add_special_tokens=False)
-            ids, owner = np.array(made.ids, self.kind), np.array(made.word_ids)
-            ends = np.searchsorted(owner, np.arange(len(some)), side="right")
-            if owner[-1] != len(some) - 1:
+            ids = np.array(self.library.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(some) or starts[0]:
                 raise ValueError("pre-tokens did not keep apart")
-            for word, start, end in zip(some, [0, *ends[:-1].tolist()], ends.tolist()):
-                self.ids[word] = ids[start:end].tobytes()
-        single = [w for w in new if not _APART.fullmatch(w)]
+            data, cuts = ids.tobytes(), [*(starts * width).tolist(), len(ids) * width]
+            self.ids.update(zip(some, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
         for i in range(0, len(single), 20_000):
             some = single[i : i + 20_000]
             for word, made in zip(some, self.library.encode_batch(some, add_special_tokens=False)):

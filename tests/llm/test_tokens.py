@@ -128,3 +128,25 @@ def test_a_damaged_record_is_refused(kind):
             list(records.read_all(bytes(broken)))
     with pytest.raises(records.CorruptRecord):
         list(records.read_all(data[:-1]))
+
+
+class _Watched:
+    """An object whose named methods note what they were asked."""
+
+    def __init__(self, inner, *names):
+        self.inner, self.names, self.asked = inner, names, []
+
+    def __getattr__(self, name):
+        if name in self.names:
+            return lambda x, **options: (self.asked.append(x), getattr(self.inner, name)(x, **options))[1]
+        return getattr(self.inner, name)
+
+
+def test_words_of_letters_are_learned_without_offsets(byte):
+    encoder = records.TextEncoder(BYTE)
+    encoder.library = _Watched(encoder.library, "encode", "encode_batch")
+    texts = ["An ordinary text, with été and 12 words", "more more words\n\n of it", ""]
+    made = encoder.encode_slice(texts)
+    assert [np.frombuffer(m, encoder.kind).tolist() for m in made] == [byte.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not any(records._APART.fullmatch(x) for asked in encoder.library.asked for x in ([asked] if isinstance(asked, str) else asked))
+    assert not [x for x in encoder.library.asked if isinstance(x, str)]
