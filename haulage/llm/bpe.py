@@ -67,6 +67,8 @@ class WordEncoder:
             if self.formed[token] < 0:
                 self.formed[token], self.left[token], self.right[token] = n, ids[a], ids[b]
         self.texts = {n: t for t, n in self.ids.items()} | {n: t for t, n in vocabulary.specials(spec).items()}
+        #: Letters of each token, without the end mark.
+        self.lengths = {n: self._length(n) for n in self.texts}
         #: Tokens that encode to themselves, by their letters from the last to the first: without and with the end mark.
         self.inner, self.final = {}, {}
         for text, token in self.ids.items():
@@ -136,15 +138,21 @@ class WordEncoder:
     def _last(self, path: list[str], states: list[int], ended: bool) -> int:
         """The last token of the encoding of the letters `path`, given those of its shorter prefixes (states[i]: of path[:i])."""
         node, start, found = self.final if ended or not self.end else self.inner, len(path), []
-        while start:
-            start -= 1
-            node = node.get(path[start])
+        for letter in reversed(path):
+            node = node.get(letter)
             if node is None:
                 break
-            if "" in node:
-                found.append((start, node[""]))
-        for start, token in reversed(found):
-            if start == 0 or self._neighbours(states[start], token):
+            start -= 1
+            token = node.get("")
+            if token is not None:
+                found.append((start, token))
+        known = self.pairs
+        while found:
+            start, token = found.pop()
+            if not start:
+                return token
+            apart = known.get((states[start], token))
+            if apart or (apart is None and self._neighbours(states[start], token)):
                 return token
         raise ValueError(f"no token ends {''.join(path[-20:])!r}: the vocabulary lacks a symbol")
 
@@ -157,6 +165,7 @@ class WordEncoder:
         path: list[str] = []
         states = [0]
         stack = [(0, "", trie.root)]
+        lengths = self.lengths
         while stack:
             depth, letter, node = stack.pop()
             if depth:
@@ -166,11 +175,11 @@ class WordEncoder:
                     states.append(self._last(path, states, False))
             if "" in node and depth:
                 token = self._last(path, states, True)
-                found, at = [token], depth - self._length(token)
+                found, at = [token], depth - lengths[token]
                 while at > 0:
                     token = states[at]
                     found.append(token)
-                    at -= self._length(token)
+                    at -= lengths[token]
                 found.reverse()
                 yield "".join(path), found
             stack.extend((depth + 1, below, nxt) for below, nxt in node.items() if below)
@@ -199,6 +208,7 @@ class Encoder:
         self.high = {n: "".join(letters[b] for b in chr(n).encode()) for n in range(0x80, 0x2100) if not 0xD800 <= n < 0xE000}
         self.low = {n: letters[n] for n in range(0x80)}
         self.table = self.low | self.high
+        self.packed = {n: n.to_bytes(4, "little") for n in self.words.texts}
         self.ids: dict[str, bytes] = {}
         self.spelt: dict[str, str] = {}
 
@@ -228,10 +238,10 @@ class Encoder:
         for word, token in self.specials.items():
             self.ids[word] = np.array([token], "<u4").tobytes()
             self.spelt[word] = word
-        texts = self.words.texts
+        texts, packed = self.words.texts, self.packed
         gc.disable()  # a trie is many small dictionaries without cycles
         for word, ids in self.words.encode(words.difference(self.ids)):
-            self.ids[word] = np.array(ids, "<u4").tobytes()
+            self.ids[word] = b"".join([packed[n] for n in ids])
             self.spelt[word] = " ".join([texts[n] for n in ids])
         gc.enable()
 

@@ -150,3 +150,12 @@ def test_words_of_letters_are_learned_without_offsets(byte):
     assert [np.frombuffer(m, encoder.kind).tolist() for m in made] == [byte.encode(t, add_special_tokens=False).ids for t in texts]
     assert not any(records._APART.fullmatch(x) for asked in encoder.library.asked for x in ([asked] if isinstance(asked, str) else asked))
     assert not [x for x in encoder.library.asked if isinstance(x, str)]
+
+
+def test_token_lengths_are_not_counted_anew_for_each_word(word, monkeypatch):
+    encoder, asked = bpe.Encoder(WORD), []
+    monkeypatch.setattr(bpe.WordEncoder, "_length", lambda self, token: asked.append(token))
+    text = "unbelievable unbelievably internationalisation of été's"
+    (found, _), = encoder.encode_slice([text])
+    assert np.frombuffer(found, "<u4").tolist() == word.encode(text, add_special_tokens=False).ids
+    assert not asked
