@@ -97,8 +97,10 @@ class WordIds:
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
 
     def _learn(self, stretches: list[str]) -> None:
-        found = list(map(vocabulary.WORD_SPLIT.findall, stretches))
-        words = list(set().union(*found).difference(self.number))
+        # plain letters alone are one word
+        mixed = [s for s in stretches if not s.isalpha()]
+        found = list(map(vocabulary.WORD_SPLIT.findall, mixed))
+        words = list(set(filter(str.isalpha, stretches)).union(*found).difference(self.number))
         for i in range(0, len(words), 20_000):
             some = words[i : i + 20_000]
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -106,7 +108,7 @@ class WordIds:
             if len(ends) != len(some):
                 raise ValueError("words did not keep apart")
             self._add(some, ids, np.diff(ends, prepend=0))
-        several = [(s, own) for s, own in zip(stretches, found) if len(own) > 1]
+        several = [(s, own) for s, own in zip(mixed, found) if len(own) > 1]
         if several:
             numbers = np.fromiter((self.number[w] for _, own in several for w in own), np.int64)
             ids, sizes = self._gathered(numbers)

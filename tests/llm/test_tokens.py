@@ -6,6 +6,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -13,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from haulage.llm import bpe, records
+from haulage.llm import bpe, packing, records
 from haulage.session import scratch
 from tests.llm.conftest import odd_rows
 
@@ -159,3 +160,12 @@ def test_token_lengths_are_not_counted_anew_for_each_word(word, monkeypatch):
     (found, _), = encoder.encode_slice([text])
     assert np.frombuffer(found, "<u4").tolist() == word.encode(text, add_special_tokens=False).ids
     assert not asked
+
+
+def test_words_of_letters_are_not_split(word, monkeypatch):
+    encoder, split = packing.WordIds(WORD), _Watched(packing.vocabulary.WORD_SPLIT, "findall")
+    monkeypatch.setattr(packing.vocabulary, "WORD_SPLIT", split)
+    texts = ["Plain words and été, don't it's x2 plain", None, "ſharp words"]
+    made = encoder.of(pa.array(texts, pa.string()))
+    assert [np.frombuffer(m, "<u4").tolist() for m in made] == [word.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sorted(split.asked) == ["don't", "it's", "x2", "été,"]
