@@ -8,9 +8,9 @@ import os
 import pytest
 
 from haulage import session
-from haulage.catalogue import routes, streams
+from haulage.catalogue import published, routes, streams
 from haulage.operators.skew import held
-from haulage.plans import refresh
+from haulage.plans import product, refresh
 from haulage.sources import landing, schemas
 
 ORDERS, LINES = 40, 3
@@ -99,6 +99,26 @@ def test_refresh_lands_by_parts(spark, tables, lying, rows, monkeypatch):
     assert rows(stored) == rows(refresh.read(spark, again, "gold_volume_por_rota"))
 
 
+def test_two_feeds_land_by_parts(spark, tables, lying, rows, monkeypatch):
+    name = "invoices_two_feeds"
+    found = rows(published.QUERIES[name](spark, tables))
+    landed(lying)
+    monkeypatch.setattr(routes, "ORDERS_PER_PART", 1000)
+    assert found == rows(published.QUERIES[name](spark, tables)) and found
+
+
+def test_the_data_step_gets_the_last_part(spark, tables, lying, monkeypatch):
+    def run(spark, lake, given, masters, prefix):
+        before = refresh.read(spark, lake, "bronze_pedidos").count()
+        refresh.ingest(spark, lake, given)
+        assert before + lying[-1][1] == refresh.read(spark, lake, "bronze_pedidos").count() == ORDERS + 1
+        return spark.range(1)
+
+    monkeypatch.setattr(product, "run", run)
+    published._delivered(spark, tables)
+    landed(lying)
+
+
 def test_shuffles_go_with_their_job(spark, tmp_path):
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name)
