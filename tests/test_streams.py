@@ -250,6 +250,45 @@ def test_documents_that_come_once_are_not_shuffled(spark, tmp_path, rows):
     assert rows(known.old.read(spark), "k", "origem") == [(3, 0)]
 
 
+def test_a_large_export_lands_in_few_files(spark, tmp_path, rows):
+    df = spark.range(4000).select(F.col("id").alias("id_pedido"), F.lit("x").alias("tipo_frete"))
+    for layout in landing.LAYOUTS:
+        folder = f"{tmp_path}/{layout}"
+        landing.write_orders(df.coalesce(1), folder, layout, documents=landing.FILES * 2000)
+        assert len([f for f in os.listdir(folder) if f.startswith("part-")]) == 2
+        assert landing.read_json(spark, folder, schemas.ORDER, layout).count() == 4000
+    assert landing.per_file(10**9, 500) == landing.MOST_IN_FILE["lines"] and landing.per_file(10**9, 500, "array") == landing.MOST_IN_FILE["array"]
+
+
+def test_documents_of_a_batch_are_read_once(spark, tmp_path, rows):
+    known, table, read = Seen(str(tmp_path / "vistos"), ("k",), "k bigint"), str(tmp_path / "tabela"), spark.sparkContext.accumulator(0)
+
+    def seen_row(k):
+        read.add(1)
+        return k
+
+    each = F.udf(seen_row, "bigint").asNondeterministic()
+
+    def add(number, *values):
+        read.value = 0
+        batch = spark.createDataFrame(values, "k bigint, v string").coalesce(1)
+        known.add(batch.select(each("k").alias("k"), "v"), number, table)
+        return read.value
+
+    assert add(0, (1, "a"), (2, "a")) == 2
+    assert add(1, (2, "a"), (3, "a"), (3, "b"), (4, "a")) == 4  # a replay, one that comes twice, a new one
+    assert add(1, (2, "a"), (3, "a"), (4, "a")) == 3  # the same micro-batch again
+    stored = spark.read.schema("k bigint, v string, lote int").parquet(table)
+    assert rows(stored) == [(1, "a", 0), (2, "a", 0), (3, "a", 1), (4, "a", 1)]
+    assert not (tmp_path / "tabela/_novos/lote=0").exists() and not (tmp_path / "tabela/_novos/lote=1").exists()
+
+
+def test_the_index_is_read_from_files_alone(spark, tmp_path):
+    known = Seen(str(tmp_path / "s"), ("k",), "k bigint")
+    known.add(spark.createDataFrame([(1, "a")], "k bigint, v string"), 0, str(tmp_path / "t"))
+    assert "ExistingRDD" not in known.index.read(spark)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unknown_layout_is_refused(spark):
     with pytest.raises(ValueError):
         landing.read_options("csv")
