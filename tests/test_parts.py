@@ -9,6 +9,7 @@ import pytest
 
 from haulage import session
 from haulage.catalogue import published, routes, streams
+from haulage.operators import nesting
 from haulage.operators.skew import held
 from haulage.plans import product, refresh
 from haulage.sources import landing, schemas
@@ -130,3 +131,15 @@ def test_shuffles_go_with_their_job(spark, tmp_path):
         folder = stored.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
         assert stored.count() == 3 and os.path.isdir(folder)
     assert not os.path.exists(folder)
+
+
+def test_long_orders_are_looked_for_once(spark, tables, lying, rows, monkeypatch):
+    asked, plain = [], nesting.kept
+    monkeypatch.setattr(nesting, "kept", lambda frame, label: asked.append(label) or plain(frame, label))
+    assert routes._short(spark, tables)
+    found = rows(streams.stream_ingest_orders(spark, tables))
+    landed(lying)
+    assert "longos" not in asked
+    monkeypatch.setattr(nesting, "INVOICES_PER_DOCUMENT", LINES - 1)
+    assert not routes._short(spark, tables)
+    assert found == rows(streams.stream_ingest_orders(spark, tables)) and asked.count("longos") == 4
